@@ -95,3 +95,31 @@ def qualify(spark: SparkSession, path: str) -> str:
     """Fully qualified URI of *path* (``file:/...`` for local paths)."""
     fs, p = _fs(spark, path)
     return str(fs.makeQualified(p).toString())
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``flatlake`` importable by Python workers (once per session).
+
+    Functions used in ``mapInPandas``/``mapInArrow`` refer to this package by
+    module; a zip of it is added to the job's Python files.
+    """
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    zip_path = os.path.join(tempfile.mkdtemp(prefix="flatlake-py-"), "flatlake.zip")
+    with zipfile.ZipFile(zip_path, "w") as zf:
+        for dirpath, _, filenames in os.walk(pkg_dir):
+            for f in filenames:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(zip_path)
+    _SHIPPED.add(key)
