@@ -106,12 +106,16 @@ def orders_keys(orders: DataFrame) -> DataFrame:
     )
 
 
-def orders_listing(orders: DataFrame) -> DataFrame:
-    """``listing(key, etag, size, last_modified)`` of the stand-in objects."""
+def _listing_of(rows: DataFrame, group_cols: list, id_col: str) -> DataFrame:
+    """One listing row per stand-in object.
+
+    Rows are grouped on cheap columns and the key is carried as ``min(key)``
+    (constant within a group), so predicates on parsed keys stay above the
+    aggregate instead of being evaluated on every source row.
+    """
     return (
-        orders_keys(orders)
-        .groupBy("key")
-        .agg(F.count(F.lit(1)).alias("size"), F.min("o_orderkey").alias("_k"))
+        rows.groupBy(*group_cols)
+        .agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("size"), F.min(id_col).alias("_k"))
         .select(
             "key",
             F.concat_ws("-", F.col("size").cast("string"), F.col("_k").cast("string")).alias("etag"),
@@ -121,6 +125,12 @@ def orders_listing(orders: DataFrame) -> DataFrame:
     )
 
 
+def orders_listing(orders: DataFrame) -> DataFrame:
+    """``listing(key, etag, size, last_modified)`` of the stand-in objects."""
+    ok = orders_keys(orders).withColumn("_notes", F.col("o_orderkey") % 50 == 0)
+    return _listing_of(ok, ["o_orderstatus", "prefix", "o_date", "_notes"], "o_orderkey")
+
+
 def orders_catalog(spark, sf_dir) -> DataFrame:
     return C.build_catalog(orders_listing(table(spark, sf_dir, "orders")))
 
@@ -130,18 +140,9 @@ def events_prefix() -> F.Column:
 
 
 def events_listing(events: DataFrame) -> DataFrame:
-    key = K.key_for_date(events_prefix(), F.col("ts").cast("date"), "csv.gz")
-    return (
-        events.select(key.alias("key"), "event_id")
-        .groupBy("key")
-        .agg(F.count(F.lit(1)).alias("size"), F.min("event_id").alias("_k"))
-        .select(
-            "key",
-            F.concat_ws("-", F.col("size").cast("string"), F.col("_k").cast("string")).alias("etag"),
-            F.col("size").cast("bigint").alias("size"),
-            F.lit(None).cast("timestamp").alias("last_modified"),
-        )
-    )
+    d = F.col("ts").cast("date")
+    rows = events.select("event_type", d.alias("_d"), "event_id", K.key_for_date(events_prefix(), d, "csv.gz").alias("key"))
+    return _listing_of(rows, ["event_type", "_d"], "event_id")
 
 
 def events_catalog(spark, sf_dir) -> DataFrame:
