@@ -85,10 +85,25 @@ def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
 
 
 def rename_path(spark: SparkSession, src: str, dst: str) -> bool:
-    fs, s = _fs(spark, src)
-    d = spark._jvm.org.apache.hadoop.fs.Path(dst)
-    fs.mkdirs(d.getParent())
-    return bool(fs.rename(s, d))
+    return rename_paths(spark, [(src, dst)]) == 1
+
+
+def rename_paths(spark: SparkSession, pairs) -> int:
+    """Metadata-only moves on one FileSystem handle; returns how many succeeded."""
+    pairs = list(pairs)
+    if not pairs:
+        return 0
+    fs, _ = _fs(spark, pairs[0][0])
+    jpath = spark._jvm.org.apache.hadoop.fs.Path
+    made, done = set(), 0
+    for src, dst in pairs:
+        d = jpath(dst)
+        parent = dst.rsplit("/", 1)[0]
+        if parent not in made:
+            fs.mkdirs(d.getParent())
+            made.add(parent)
+        done += bool(fs.rename(jpath(src), d))
+    return done
 
 
 def qualify(spark: SparkSession, path: str) -> str:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.epoch import stringify_timestamps
-from ..session import glob_paths, qualify, rename_path, scratch_path
+from ..session import glob_paths, qualify, rename_paths, scratch_path
 
 _PART = re.compile(r"/dataset=([^/]+)/file_date=([0-9]{4})-([0-9]{2})-([0-9]{2})/(part-[^/]+)$")
 
@@ -48,7 +48,7 @@ def export_daily_files(
     qroot = qualify(spark, root).rstrip("/")
     parts = sorted(glob_paths(spark, qualify(spark, stage) + "/dataset=*/file_date=*/part-*"))
     seq: dict[tuple, int] = defaultdict(int)
-    keys = []
+    keys, moves = [], []
     for p in parts:
         m = _PART.search(p)
         if not m:
@@ -59,6 +59,7 @@ def export_daily_files(
         seq[(ds, y, mo, d)] += 1
         name = f"{y}-{mo}-{d}.csv.gz" if n == 0 else f"{y}-{mo}-{d}.p{n:05d}.csv.gz"
         key = f"{ds}/{y}/{mo}/{name}"
-        rename_path(spark, p, f"{qroot}/{key}")
+        moves.append((p, f"{qroot}/{key}"))
         keys.append(key)
+    rename_paths(spark, moves)
     return keys
