@@ -1,5 +1,7 @@
 from datetime import date
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import OPTION_TICKERS, TODAY, quotes_csv, write_objects
@@ -69,3 +71,64 @@ def test_failed_file_isolated(spark, bucket, tmp_path):
     assert st["2025-03-19.csv.gz"] == "failed"
     assert st["2025-03-17.csv.gz"] == "written"
     assert not run.ok
+
+
+def test_dry_run_and_force(spark, bucket, tmp_path):
+    out = str(tmp_path / "out")
+    kw = dict(start_date=date(2025, 3, 17), end_date=date(2025, 3, 18))
+    dry = ingest(spark, bucket, out, ["options/quotes"], dry_run=True, **kw)
+    assert sorted(r.status for r in dry.result.collect()) == ["planned", "planned"]
+    ingest(spark, bucket, out, ["options/quotes"], **kw)
+    forced = ingest(spark, bucket, out, ["options/quotes"], force=True, **kw)
+    assert sorted(r.status for r in forced.result.collect()) == ["written", "written"]
+    assert _read(spark, out).count() == 18
+
+
+def test_changed_settings_and_deleted_output_repull(spark, bucket, tmp_path):
+    import shutil
+
+    out = str(tmp_path / "out")
+    kw = dict(start_date=date(2025, 3, 17), end_date=date(2025, 3, 18))
+    ingest(spark, bucket, out, ["options/quotes"], **kw)
+    changed = ingest(spark, bucket, out, ["options/quotes"], ticker_prefixes=["O:AAPL"], **kw)
+    assert {r.reason for r in changed.result.collect()} == {"changed"}
+    assert _read(spark, out).count() == 12
+    shutil.rmtree(f"{out}/asset_class=us_options_opra/data_type=quotes_v1/file_date=2025-03-17")
+    again = ingest(spark, bucket, out, ["options/quotes"], ticker_prefixes=["O:AAPL"], **kw)
+    st = {r.key.rsplit("/", 1)[-1]: (r.status, r.reason) for r in again.result.collect()}
+    assert st["2025-03-17.csv.gz"] == ("written", "output missing")
+    assert st["2025-03-18.csv.gz"][0] == "skipped"
+
+
+def test_other_formats_and_row_filter(spark, bucket, tmp_path):
+    from flatlake.sinks.formats import read_output
+
+    out = str(tmp_path / "out")
+    run = ingest(spark, bucket, out, ["stocks/day_aggs"], start_date=date(2025, 3, 17), end_date=date(2025, 3, 18),
+                 output_format="csv.gz", row_filter=F.col("volume") > 1000, row_filter_id="vol>1000")
+    assert sorted(r.rows for r in run.result.collect()) == [2, 2]
+    back = read_output(spark, "csv.gz", out)
+    assert back.count() == 4
+    assert back.first().window_start.endswith("Z")
+    with pytest.raises(ValueError):
+        ingest(spark, bucket, out, ["stocks/day_aggs"], latest=1, row_filter=F.col("volume") > 1)
+
+
+def test_raw_mirror(spark, bucket, tmp_path):
+    import os
+
+    out = str(tmp_path / "raw")
+    run = ingest(spark, bucket, out, ["options/quotes"], start_date=date(2025, 3, 17), end_date=date(2025, 4, 30), output_format="raw")
+    assert sorted(r.status for r in run.result.collect()) == ["written"] * 3
+    rel = "us_options_opra/quotes_v1/2025/03/2025-03-17.csv.gz"
+    assert open(os.path.join(out, rel), "rb").read() == open(os.path.join(bucket, rel), "rb").read()
+    again = ingest(spark, bucket, out, ["options/quotes"], start_date=date(2025, 3, 17), end_date=date(2025, 4, 30), output_format="raw")
+    assert sorted(r.status for r in again.result.collect()) == ["skipped"] * 3
+    with pytest.raises(ValueError, match="raw"):
+        ingest(spark, bucket, out, ["options/quotes"], latest=1, output_format="raw", tickers=["A"])
+
+
+def test_duplicate_output_paths_rejected(spark, bucket, tmp_path):
+    with pytest.raises(ValueError, match="same output"):
+        ingest(spark, bucket, str(tmp_path / "o"), ["options/quotes"], start_date=date(2025, 3, 17),
+               end_date=date(2025, 4, 30), path_template="{name}.{ext}")
