@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import dataset_of_key, unquote_etag
-from ..session import path_exists, qualify
+from ..session import glob_paths, path_exists, qualify
 
 LISTING_SCHEMA = "key string, etag string, size bigint, last_modified timestamp, path string"
 
@@ -25,13 +25,17 @@ def empty_listing(spark: SparkSession) -> DataFrame:
 
 
 def listing(spark: SparkSession, root: str, prefixes: Sequence[str] | None = None) -> DataFrame:
-    """List every object under *root* (or under ``root/<prefix>`` for each prefix).
+    """List every object under *root* (or under ``root/<prefix>`` for each prefix;
+    an empty prefix list lists nothing).
 
     The ETag stand-in is ``<size>-<mtime micros>``: it changes whenever an
     object is rewritten, which is what the incremental plan needs.
     """
     qroot = qualify(spark, root).rstrip("/")
-    targets = [qroot] if not prefixes else [f"{qroot}/{p.strip('/')}" for p in prefixes]
+    if prefixes is None:
+        targets = [qroot]
+    else:
+        targets = [f"{qroot}/{p.strip('/')}" for p in prefixes]
     targets = [t for t in targets if path_exists(spark, t)]
     if not targets:
         return empty_listing(spark)
@@ -65,3 +69,25 @@ def list_prefixes(listing_df: DataFrame) -> DataFrame:
         .distinct()
         .orderBy("prefix")
     )
+
+
+def month_dirs(spark: SparkSession, root: str, prefixes: Sequence[str], first, last) -> list[str]:
+    """``<prefix>/YYYY/MM`` directories under *root* whose month lies in ``[first, last]``.
+
+    One glob per dataset (directory metadata only), so a date-range or
+    newest-N selection lists just the months it can select from instead of a
+    dataset's whole history.
+    """
+    qroot = qualify(spark, root).rstrip("/")
+    lo, hi = (first.year, first.month), (last.year, last.month)
+    out = []
+    for prefix in prefixes:
+        base = f"{qroot}/{prefix.strip('/')}"
+        for p in glob_paths(spark, f"{base}/[0-9][0-9][0-9][0-9]/[0-9][0-9]"):
+            rel = p[len(base) + 1:] if p.startswith(base + "/") else None
+            if rel is None:
+                continue
+            y, m = rel.split("/")
+            if lo <= (int(y), int(m)) <= hi:
+                out.append(f"{prefix.strip('/')}/{y}/{m}")
+    return sorted(out)
