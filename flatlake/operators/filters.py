@@ -62,7 +62,8 @@ def filter_tickers(
     if column not in df.columns:
         raise ValueError(f"Filter column {column!r} not found in file columns {df.columns}")
     pred = ticker_predicate(column, values, prefixes, df.schema[column].dataType)
-    return df.filter(F.coalesce(pred, F.lit(False)))
+    # NULL drops the row like false does; a bare predicate stays pushable.
+    return df.filter(pred)
 
 
 def project(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import types as T
 
 from conftest import NS, csv_bytes, quotes_csv
-from flatlake.sources.csv_scan import ROW_BAD, scan_csv
+from flatlake.sources.csv_scan import ROW_BAD, full_row_parsing, scan_csv
 from flatlake.sources.schema import (
     compression_for_name, infer_file_schemas, parse_column_types, parse_type,
 )
@@ -102,3 +102,28 @@ def test_compression_for_name():
     assert compression_for_name("a/b/2025-01-01.csv.gz") == "gzip"
     assert compression_for_name("x.CSV.ZST") == "zstd"
     assert compression_for_name("x.csv") is None
+
+
+def test_malformed_row_flagged_with_projection(spark, tmp_path):
+    data = b"ticker,px,sip_timestamp\nA,1.0,5\nB,2.0\nC,3.0,7,extra\n"
+    g = _one_schema(spark, tmp_path, data, "m.csv", peek_bytes=24)
+    df = scan_csv(spark, ["file:" + str(tmp_path / "m.csv")], g["schema"], ["ticker"])
+    with full_row_parsing(spark):
+        rows = df.collect()  # the flag is always read together with data columns
+    assert len(rows) == 3
+    assert sorted(r.ticker for r in rows if r[ROW_BAD]) == ["B", "C"]
+
+
+def test_zstd_and_bz2_sources(spark, tmp_path):
+    import bz2
+
+    import pyarrow as pa
+
+    raw = b"ticker,px\nA,1.5\nB,2.5\n"
+    (tmp_path / "z.csv.zst").write_bytes(pa.compress(raw, "zstd", asbytes=True))
+    (tmp_path / "b.csv.bz2").write_bytes(bz2.compress(raw))
+    for name in ("z.csv.zst", "b.csv.bz2"):
+        g = _one_schema(spark, tmp_path, (tmp_path / name).read_bytes(), name)
+        assert g["schema"]["px"].dataType == T.DoubleType()
+        df = scan_csv(spark, ["file:" + str(tmp_path / name)], g["schema"])
+        assert sorted(r.px for r in df.collect()) == [1.5, 2.5]
