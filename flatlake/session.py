@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -42,6 +43,48 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+@contextmanager
+def bounded_listing(spark: SparkSession):
+    """Cap the parallel file-listing job at the cluster's parallelism.
+
+    Reading an explicit list of N files lists each path; above a threshold
+    Spark runs a listing job with min(N, 10000) tasks, which for thousands of
+    small files costs more than the listing itself.
+    """
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, str(max(1, spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict):
+    """Set SQL confs for the duration of a block, then restore them."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+#: For partitioned writes: AQE may merge shuffle partitions only down to this
+#: size, so thousands of small day partitions are still written by many tasks
+#: in parallel; large partitions are governed by the advisory size as usual.
+WRITE_CONF = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": str(64 * 1024)}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; set a local one only if unset."""
     sc = spark.sparkContext

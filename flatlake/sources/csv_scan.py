@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import FALSE_TOKENS, NULL_TOKENS, TRUE_TOKENS
+from ..session import bounded_listing
 from .schema import FLOAT_PATTERN, INT_PATTERN, compression_for_name
 
 BAD_COL = "_bad"
@@ -73,7 +74,8 @@ def read_text_columns(spark: SparkSession, paths: Sequence[str], columns: Sequen
         .option("escape", '"')
         .option("multiLine", multi_line)
     )
-    df = reader.csv(list(paths))
+    with bounded_listing(spark):
+        df = reader.csv(list(paths))
     return df.withColumn(PATH_COL, F.col("_metadata.file_path"))
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.epoch import stringify_timestamps
-from ..session import glob_paths, qualify, rename_paths, scratch_path
+from ..session import WRITE_CONF, glob_paths, qualify, rename_paths, scratch_path, session_conf
 
 _PART = re.compile(r"/dataset=([^/]+)/file_date=([0-9]{4})-([0-9]{2})-([0-9]{2})/(part-[^/]+)$")
 
@@ -38,13 +38,15 @@ def export_daily_files(
     """
     stage = scratch_path(spark, "export-stage")
     data = stringify_timestamps(rows.select(*columns, F.col(dataset_col).alias("dataset"), F.col(date_col).cast("date").alias("file_date")))
-    (
-        data.write.partitionBy("dataset", "file_date")
-        .option("header", True)
-        .option("escape", '"')
-        .option("compression", "gzip")
-        .csv(stage)
-    )
+    with session_conf(spark, WRITE_CONF):
+        (
+            data.hint("rebalance", "dataset", "file_date")
+            .write.partitionBy("dataset", "file_date")
+            .option("header", True)
+            .option("escape", '"')
+            .option("compression", "gzip")
+            .csv(stage)
+        )
     qroot = qualify(spark, root).rstrip("/")
     parts = sorted(glob_paths(spark, qualify(spark, stage) + "/dataset=*/file_date=*/part-*"))
     seq: dict[tuple, int] = defaultdict(int)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import dataset_of_key, unquote_etag
-from ..session import glob_paths, path_exists, qualify
+from ..session import bounded_listing, glob_paths, path_exists, qualify
 
 LISTING_SCHEMA = "key string, etag string, size bigint, last_modified timestamp, path string"
 
@@ -39,12 +39,13 @@ def listing(spark: SparkSession, root: str, prefixes: Sequence[str] | None = Non
     targets = [t for t in targets if path_exists(spark, t)]
     if not targets:
         return empty_listing(spark)
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(targets)
-        .select("path", "length", "modificationTime")
-    )
+    with bounded_listing(spark):
+        files = (
+            spark.read.format("binaryFile")
+            .option("recursiveFileLookup", True)
+            .load(targets)
+            .select("path", "length", "modificationTime")
+        )
     key = F.substr(F.col("path"), F.lit(len(qroot) + 2))
     return files.select(
         key.alias("key"),

@@ -701,6 +701,47 @@ def q_ingest_events(spark, sf_dir):
     ))
 
 
+LINEITEM_DATASET = "us_stocks_sip/lineitem_v1"
+
+
+def export_lineitem_files(spark, sf_dir) -> str:
+    """``lineitem`` as one gzip CSV per ship date (a quotes-like dataset)."""
+    li = table(spark, sf_dir, "lineitem")
+    us = F.unix_micros(F.col("l_shipdate").cast("timestamp"))
+    rows = li.select(
+        F.lit(LINEITEM_DATASET).alias("dataset"),
+        F.col("l_shipdate").cast("date").alias("file_date"),
+        F.concat(F.lit("L"), F.col("l_partkey").cast("string")).alias("ticker"),
+        F.col("l_extendedprice").alias("price"),
+        F.col("l_quantity").alias("size"),
+        (us * 1000 + F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("sip_timestamp"),
+    )
+    src = scratch_path(spark, "vendor-lineitem")
+    export_daily_files(spark, rows, src, ["ticker", "price", "size", "sip_timestamp"])
+    return src
+
+
+def ingest_lineitem_files(spark, src: str, out: str, force: bool = False):
+    return ingest(
+        spark, src, out, [LINEITEM_DATASET], start_date=date(1995, 1, 1), end_date=date(2001, 12, 31),
+        path_template="{dataset}/{date}/{filename}.{ext}", force=force,
+    )
+
+
+def q_ingest_lineitem(spark, sf_dir):
+    ensure_utc(spark)
+    src = export_lineitem_files(spark, sf_dir)
+    out = scratch_path(spark, "ingested-lineitem")
+    run = ingest_lineitem_files(spark, src, out)
+    bad = run.result.filter(F.col("status") == "failed").limit(1).collect()
+    if bad:
+        raise RuntimeError(f"ingest failed: {bad}")
+    back = spark.read.parquet(out)
+    return present(back.select(
+        "ticker", "price", "size", "sip_timestamp", "sip_timestamp_ns", F.col("file_date").cast("date"),
+    ))
+
+
 # --------------------------------------------------------------------------- #
 # Flagship: newest 3 days per event type -> filter -> epoch/ISO -> counts
 # --------------------------------------------------------------------------- #
@@ -777,5 +818,6 @@ QUERIES = {
     "listing": q_listing,
     "stream_available_now": q_stream_available_now,
     "ingest_events": q_ingest_events,
+    "ingest_lineitem": q_ingest_lineitem,
     "flagship": q_flagship,
 }

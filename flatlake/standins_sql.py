@@ -312,6 +312,12 @@ SELECT 'U' || CAST(user_id AS VARCHAR) AS ticker, value, ts AS sip_timestamp,
   epoch_us(ts) * 1000 + event_id % 1000 AS sip_timestamp_ns, event_type || '_v1' AS data_type,
   CAST(CAST(ts AS DATE) AS VARCHAR) AS file_date
 FROM events WHERE starts_with('U' || CAST(user_id AS VARCHAR), 'U1')""",
+    "ingest_lineitem": """
+SELECT 'L' || CAST(l_partkey AS VARCHAR) AS ticker, l_extendedprice AS price, l_quantity AS size,
+  make_timestamp(epoch_us(l_shipdate) + (l_orderkey * 10 + l_linenumber) // 1000) AS sip_timestamp,
+  epoch_us(l_shipdate) * 1000 + l_orderkey * 10 + l_linenumber AS sip_timestamp_ns,
+  CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS file_date
+FROM lineitem""",
     "flagship": _with(EVENTS_LISTING, CATALOG) + f"""
 , latest AS (
   SELECT key FROM (
