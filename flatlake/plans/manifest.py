@@ -96,3 +96,26 @@ def forget(spark: SparkSession, output_root: str, rels: Iterable[str]) -> None:
         spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(
             manifest_path(output_root)
         )
+
+
+def compact(spark: SparkSession, output_root: str) -> int:
+    """Rewrite the log as its current view (one row per live ``rel``).
+
+    The new log is written next to the old one and swapped in with two
+    renames; the old log is kept under ``_manifest.replaced-<run>``.  Returns
+    the number of entries kept.
+    """
+    from ..session import rename_path
+
+    path = manifest_path(output_root)
+    if not path_exists(spark, path):
+        return 0
+    run_id = new_run_id()
+    cur = read_current(spark, output_root).withColumn("run_id", F.lit(run_id)).withColumn("op", F.lit("record"))
+    cur = cur.select(*[f.split(" ")[0] for f in MANIFEST_SCHEMA.split(", ")])
+    fresh = f"{path}.compact-{run_id}"
+    cur.coalesce(1).write.mode("error").parquet(fresh)
+    n = spark.read.parquet(fresh).count()
+    rename_path(spark, path, f"{path}.replaced-{run_id}")
+    rename_path(spark, fresh, path)
+    return n

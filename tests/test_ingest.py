@@ -132,3 +132,14 @@ def test_duplicate_output_paths_rejected(spark, bucket, tmp_path):
     with pytest.raises(ValueError, match="same output"):
         ingest(spark, bucket, str(tmp_path / "o"), ["options/quotes"], start_date=date(2025, 3, 17),
                end_date=date(2025, 4, 30), path_template="{name}.{ext}")
+
+
+def test_underlying_preset(spark, bucket, tmp_path):
+    from flatlake import ingest_underlying
+
+    out = str(tmp_path / "out")
+    run = ingest_underlying(spark, bucket, out, "AAPL", start_date=date(2025, 3, 17), end_date=date(2025, 3, 17))
+    assert [r.status for r in run.result.collect()] == ["written"]
+    assert _read(spark, out).count() == 6
+    with pytest.raises(ValueError):
+        ingest_underlying(spark, bucket, out, "AAPL", data_type="bars", latest=1)

@@ -83,3 +83,18 @@ def test_manifest_log(spark, tmp_path):
     assert {r.rel: r.etag for r in M.read_current(spark, root).collect()}["r1"] == "e9"
     M.forget(spark, root, ["r1"])
     assert [r.rel for r in M.read_current(spark, root).collect()] == ["r2"]
+
+
+def test_manifest_compact(spark, tmp_path):
+    root = str(tmp_path / "out")
+    e = spark.createDataFrame(
+        [("r1", "k1", "e1", 10, 5, SIG, "parquet", True, "loc1"), ("r2", "k2", "e2", 10, 0, SIG, "parquet", False, "loc2")],
+        "rel string, key string, etag string, size bigint, rows bigint, signature string, format string, written boolean, location string",
+    )
+    M.append_entries(spark, root, e, "run-1")
+    M.append_entries(spark, root, e.filter("rel = 'r1'"), "run-2")
+    M.forget(spark, root, ["r2"])
+    assert M.read_log(spark, root).count() == 4
+    assert M.compact(spark, root) == 1
+    assert M.read_log(spark, root).count() == 1
+    assert [r.rel for r in M.read_current(spark, root).collect()] == ["r1"]
