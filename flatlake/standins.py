@@ -49,7 +49,7 @@ from .sources.csv_scan import ROW_BAD, scan_csv
 from .sources.export import export_daily_files
 from .sources.listing import list_keys, list_prefixes, listing as list_objects
 from .sources.schema import infer_file_schemas, schema_rows
-from .streaming.available_now import stream_csv_available_now
+from .streaming.available_now import stream_csv_available_now, stream_ingest
 
 TODAY_ORDERS = date(2001, 12, 31)
 TODAY_EVENTS = date(2024, 2, 15)
@@ -700,6 +700,36 @@ def q_ingest_events(spark, sf_dir):
     ))
 
 
+def q_stream_ingest_events(spark, sf_dir):
+    """Catch-up streaming ingest of ``events`` exported as one daily file per day."""
+    ensure_utc(spark)
+    ev = table(spark, sf_dir, "events")
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    rows = ev.select(
+        F.lit("us_events/stream_v1").alias("dataset"),
+        F.col("ts").cast("date").alias("file_date"),
+        F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("ticker"),
+        "event_type",
+        "value",
+        (us * 1000 + F.col("event_id") % 1000).alias("sip_timestamp"),
+    )
+    src = scratch_path(spark, "vendor-stream")
+    export_daily_files(spark, rows, src, ["ticker", "event_type", "value", "sip_timestamp"])
+    schema = T.StructType([
+        T.StructField("ticker", T.StringType()), T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()), T.StructField("sip_timestamp", T.LongType()),
+    ])
+    out = scratch_path(spark, "stream-ingested")
+    res = stream_ingest(spark, src, out, "us_events/stream_v1", schema, ticker_prefixes=["U1"])
+    bad = res.filter(F.col("status") == "failed").limit(1).collect()
+    if bad:
+        raise RuntimeError(f"stream ingest failed: {bad}")
+    back = spark.read.parquet(out)
+    return present(back.select(
+        "ticker", "event_type", "value", "sip_timestamp", "sip_timestamp_ns", F.col("file_date").cast("date"),
+    ))
+
+
 LINEITEM_DATASET = "us_stocks_sip/lineitem_v1"
 
 
@@ -816,6 +846,7 @@ QUERIES = {
     "sink_raw": q_sink_raw,
     "listing": q_listing,
     "stream_available_now": q_stream_available_now,
+    "stream_ingest_events": q_stream_ingest_events,
     "ingest_events": q_ingest_events,
     "ingest_lineitem": q_ingest_lineitem,
     "flagship": q_flagship,

@@ -311,6 +311,10 @@ FROM lineitem GROUP BY l_returnflag, l_linestatus""",
 SELECT 'U' || CAST(user_id AS VARCHAR) AS ticker, value, ts AS sip_timestamp,
   epoch_us(ts) * 1000 + event_id % 1000 AS sip_timestamp_ns, event_type || '_v1' AS data_type,
   CAST(CAST(ts AS DATE) AS VARCHAR) AS file_date
+FROM events WHERE starts_with('U' || CAST(user_id AS VARCHAR), 'U1')""",
+    "stream_ingest_events": """
+SELECT 'U' || CAST(user_id AS VARCHAR) AS ticker, event_type, value, ts AS sip_timestamp,
+  epoch_us(ts) * 1000 + event_id % 1000 AS sip_timestamp_ns, CAST(CAST(ts AS DATE) AS VARCHAR) AS file_date
 FROM events WHERE starts_with('U' || CAST(user_id AS VARCHAR), 'U1')""",
     "ingest_lineitem": """
 SELECT 'L' || CAST(l_partkey AS VARCHAR) AS ticker, l_extendedprice AS price, l_quantity AS size,

@@ -55,3 +55,130 @@ def stream_csv_available_now(
     # retried batch never duplicates rows (exactly-once output).
     q = w.trigger(availableNow=True).start(output)
     q.awaitTermination()
+
+
+def stream_ingest(
+    spark: SparkSession,
+    source_root: str,
+    output_root: str,
+    dataset: str,
+    schema: T.StructType,
+    *,
+    checkpoint: str | None = None,
+    tickers: Sequence[str] = (),
+    ticker_prefixes: Sequence[str] = (),
+    filter_column: str = "ticker",
+    columns: Sequence[str] | None = None,
+    timestamp_columns="auto",
+    timestamp_unit: str = "ns",
+    keep_ns: bool = True,
+    output_format: str = "parquet",
+    compression="default",
+    partition_by: Sequence[str] = ("asset_class", "data_type", "file_date"),
+    max_files_per_trigger: int | None = None,
+) -> DataFrame:
+    """Cron catch-up: ingest every file of *dataset* not seen by earlier runs, then stop.
+
+    *schema* is the typed schema of the files' header (e.g. from
+    :func:`flatlake.sources.schema.infer_file_schemas`).  Each micro-batch is
+    processed like a batch run: rows are typed and validated, files with a
+    bad row are reported failed and not published, matching rows are written
+    with dynamic partition overwrite (so a retried batch rewrites the same
+    partitions), and one manifest entry per file is appended.  A micro-batch
+    reads its files twice (a per-file summary, then the publish); the batch
+    :func:`flatlake.ingest.ingest` stages instead and reads them once.  A file
+    that cannot be decompressed stops the run (the batch ingest isolates it).
+    Returns the per-file results of this run.
+    """
+    from ..functions.epoch import convert_epochs, resolve_timestamp_columns
+    from ..functions.keys import date_from_key
+    from ..ingest import RESULT_SCHEMA, _partition_exprs
+    from ..operators.filters import ticker_predicate
+    from ..plans import manifest as M
+    from ..session import ensure_utc, qualify
+    from ..sinks.formats import get_format
+    from ..sources.catalog import resolve_dataset
+    from ..sources.csv_scan import BAD_COL, PATH_COL, ROW_BAD, apply_schema, string_schema
+
+    ensure_utc(spark)
+    prefix = resolve_dataset(dataset)
+    fmt = get_format(output_format)
+    codec = fmt.resolve_compression(compression)
+    checkpoint = checkpoint or f"{output_root.rstrip('/')}/_stream_checkpoints/{prefix.replace('/', '__')}"
+    qroot = qualify(spark, source_root).rstrip("/")
+    reader = (
+        spark.readStream.schema(string_schema(schema.names))
+        .option("header", True)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", BAD_COL)
+        .option("escape", '"')
+    )
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    raw = reader.csv(f"{qroot}/{prefix}/[0-9][0-9][0-9][0-9]/[0-9][0-9]/*").withColumn(
+        PATH_COL, F.col("_metadata.file_path")
+    )
+    keep = list(columns) if columns else None
+    if keep and (tickers or ticker_prefixes) and filter_column not in keep:
+        keep.append(filter_column)
+    typed = apply_schema(raw, schema, keep)
+    kept_schema = T.StructType([schema[c] for c in (keep or schema.names)])
+    ts_cols = resolve_timestamp_columns(kept_schema, timestamp_columns)
+    typed = convert_epochs(typed, ts_cols, timestamp_unit, keep_ns)
+    pred = None
+    if tickers or ticker_prefixes:
+        pred = ticker_predicate(filter_column, tickers, ticker_prefixes, typed.schema[filter_column].dataType)
+    parts = _partition_exprs(partition_by, F.lit(prefix), date_from_key(F.col(PATH_COL)))
+    keep_col = F.lit(True) if pred is None else F.coalesce(pred, F.lit(False))
+    staged = typed.select("*", *[v.alias(c) for c, v in parts.items()], keep_col.alias("_keep"))
+    results: list[tuple] = []
+
+    def process(batch: DataFrame, epoch_id: int) -> None:
+        # Pass 1: one summary row per new file (rows, bad rows, matching rows).
+        summary = batch.groupBy(PATH_COL).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum(F.col(ROW_BAD).cast("int")).alias("bad"),
+            F.sum((F.col("_keep") & ~F.col(ROW_BAD)).cast("int")).alias("kept"),
+        ).collect()
+        if not summary:
+            return
+        bad = {r[PATH_COL]: r["bad"] for r in summary if r["bad"]}
+        # Pass 2: matching rows of the files without bad rows.
+        good = batch.filter(F.col("_keep") & ~F.col(ROW_BAD)).drop(ROW_BAD, "_keep")
+        if bad:
+            bad_df = spark.createDataFrame([(p,) for p in bad], f"{PATH_COL} string")
+            good = good.join(bad_df, PATH_COL, "left_anti")
+        if columns:
+            proj = []
+            for c in columns:
+                proj += [c] + ([c + "_ns"] if c + "_ns" in good.columns else [])
+            good = good.select(*proj, *partition_by)
+        else:
+            good = good.drop(PATH_COL)
+        if any(r["kept"] for r in summary if r[PATH_COL] not in bad):
+            fmt.write(good, output_root, codec, partition_by)
+        entries = []
+        for r in summary:
+            p = r[PATH_COL]
+            key = p[len(qroot) + 1:] if p.startswith(qroot + "/") else p
+            if p in bad:
+                results.append((key, None, "failed", None, f"ValueError: {bad[p]} row(s) do not fit the schema", "stream"))
+                continue
+            n = int(r["kept"] or 0)
+            results.append((key, key, "written" if n else "empty", n, None, "stream"))
+            entries.append((key, key, None, None, n, f"stream|{fmt.name}|{codec}", fmt.name, bool(n), None))
+        if entries:
+            M.append_entries(spark, output_root, spark.createDataFrame(
+                entries,
+                "rel string, key string, etag string, size bigint, rows bigint, signature string, "
+                "format string, written boolean, location string",
+            ), f"stream-{epoch_id}-{M.new_run_id()}")
+
+    q = (
+        staged.writeStream.foreachBatch(process)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    return spark.createDataFrame(results, RESULT_SCHEMA)

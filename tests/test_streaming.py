@@ -1,3 +1,4 @@
+import gzip
 import os
 
 from pyspark.sql import types as T
@@ -22,3 +23,28 @@ def test_available_now_picks_up_new_files_only(spark, tmp_path):
     df = spark.read.parquet(out)
     assert df.count() == 3
     assert dict(df.dtypes)["px"] == "double"
+
+
+def test_stream_ingest_catch_up(spark, tmp_path):
+    from conftest import OPTION_TICKERS, quotes_csv, write_objects
+    from flatlake.sources.schema import parse_column_types
+    from flatlake.streaming.available_now import stream_ingest
+
+    src, out = str(tmp_path / "bucket"), str(tmp_path / "out")
+    write_objects(src, {"us_options_opra/quotes_v1/2025/03/2025-03-17.csv.gz": quotes_csv(OPTION_TICKERS)})
+    schema = T.StructType([
+        T.StructField("ticker", T.StringType()), T.StructField("ask_price", T.DoubleType()),
+        T.StructField("bid_price", T.DoubleType()), T.StructField("sip_timestamp", T.LongType()),
+    ])
+    r1 = stream_ingest(spark, src, out, "options/quotes", schema, ticker_prefixes=["O:AAPL"])
+    assert [(r.status, r.rows) for r in r1.collect()] == [("written", 6)]
+    write_objects(src, {
+        "us_options_opra/quotes_v1/2025/03/2025-03-18.csv.gz": quotes_csv(OPTION_TICKERS),
+        "us_options_opra/quotes_v1/2025/03/2025-03-19.csv.gz": gzip.compress(b"ticker,ask_price,bid_price,sip_timestamp\nO:AAPLX,x,1,2\n"),
+    })
+    r2 = {r.key.rsplit("/", 1)[-1]: r.status for r in stream_ingest(spark, src, out, "options/quotes", schema, ticker_prefixes=["O:AAPL"]).collect()}
+    assert r2 == {"2025-03-18.csv.gz": "written", "2025-03-19.csv.gz": "failed"}
+    df = spark.read.parquet(out + "/asset_class=us_options_opra")
+    assert df.count() == 12
+    assert "sip_timestamp_ns" in df.columns
+    assert stream_ingest(spark, src, out, "options/quotes", schema).count() == 0
