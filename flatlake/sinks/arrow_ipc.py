@@ -120,14 +120,16 @@ class ArrowIpcWriter(DataSourceArrowWriter):
         for src, d in staged:
             os.makedirs(d, exist_ok=True)
             os.replace(src, os.path.join(d, os.path.basename(src)))
+        self._drop_stage()
 
     def abort(self, messages):
-        for m in messages:
-            if m is None:
-                continue
-            for src, _ in m.files:
-                if os.path.exists(src):
-                    os.remove(src)
+        self._drop_stage()
+
+    def _drop_stage(self):
+        # The job's own staging folder (also holds files of failed attempts).
+        import shutil
+
+        shutil.rmtree(f"{self.path}/_staging-{self.job}", ignore_errors=True)
 
 
 class _FilePartition(InputPartition):

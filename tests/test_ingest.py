@@ -143,3 +143,28 @@ def test_underlying_preset(spark, bucket, tmp_path):
     assert _read(spark, out).count() == 6
     with pytest.raises(ValueError):
         ingest_underlying(spark, bucket, out, "AAPL", data_type="bars", latest=1)
+
+
+def test_truncated_gzip_isolated_by_bisection(spark, bucket, tmp_path):
+    import gzip as gz
+
+    from flatlake.ingest import _bisect_stage
+
+    good = quotes_csv(OPTION_TICKERS, per_ticker=2000)
+    # valid head (so sampling succeeds) but cut off mid-stream
+    write_objects(bucket, {"us_options_opra/quotes_v1/2025/03/2025-03-20.csv.gz": good[: len(good) // 2]})
+    out = str(tmp_path / "out")
+    run = ingest(spark, bucket, out, ["options/quotes"], start_date=date(2025, 3, 17), end_date=date(2025, 3, 20))
+    st = {r.key.rsplit("/", 1)[-1]: r.status for r in run.result.collect()}
+    assert st == {"2025-03-17.csv.gz": "written", "2025-03-18.csv.gz": "written", "2025-03-20.csv.gz": "failed"}
+    calls = []
+
+    def stage(ps):
+        calls.append(list(ps))
+        if "bad" in ps:
+            raise IOError("broken")
+        return ps
+
+    frames, broken = _bisect_stage(stage, [f"f{i}" for i in range(15)] + ["bad"])
+    assert list(broken) == ["bad"] and sum(len(f) for f in frames) == 15
+    assert len(calls) <= 2 * 5
