@@ -49,6 +49,9 @@ def test_empty_match_recorded_and_skipped(spark, bucket, tmp_path):
     kw = dict(start_date=date(2025, 3, 17), end_date=date(2025, 3, 17), ticker_prefixes=["O:TSLA"])
     r1 = ingest(spark, bucket, out, ["options/quotes"], **kw)
     assert [r.status for r in r1.result.collect()] == ["empty"]
+    import os
+
+    assert not os.path.exists(f"{out}/asset_class=us_options_opra")  # no output for no rows
     r2 = ingest(spark, bucket, out, ["options/quotes"], **kw)
     assert [r.status for r in r2.result.collect()] == ["skipped"]
 

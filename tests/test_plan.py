@@ -98,3 +98,14 @@ def test_manifest_compact(spark, tmp_path):
     assert M.compact(spark, root) == 1
     assert M.read_log(spark, root).count() == 1
     assert [r.rel for r in M.read_current(spark, root).collect()] == ["r1"]
+
+
+def test_corrupt_manifest_raises(spark, tmp_path):
+    import os
+
+    root = str(tmp_path / "out")
+    os.makedirs(os.path.join(root, M.MANIFEST_DIR))
+    with open(os.path.join(root, M.MANIFEST_DIR, "part-0.parquet"), "wb") as fh:
+        fh.write(b"not parquet at all")
+    with pytest.raises(Exception):
+        M.read_current(spark, root).collect()
