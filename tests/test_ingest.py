@@ -171,3 +171,15 @@ def test_truncated_gzip_isolated_by_bisection(spark, bucket, tmp_path):
     frames, broken = _bisect_stage(stage, [f"f{i}" for i in range(15)] + ["bad"])
     assert list(broken) == ["bad"] and sum(len(f) for f in frames) == 15
     assert len(calls) <= 2 * 5
+
+
+def test_manifest_auto_compaction(spark, bucket, tmp_path):
+    from flatlake.plans import manifest as M
+
+    out = str(tmp_path / "out")
+    kw = dict(start_date=date(2025, 3, 17), end_date=date(2025, 3, 18), manifest_compact_after=2)
+    ingest(spark, bucket, out, ["options/quotes"], **kw)
+    ingest(spark, bucket, out, ["options/quotes"], ticker_prefixes=["O:SPY"], **kw)
+    ingest(spark, bucket, out, ["options/quotes"], ticker_prefixes=["O:AAPL"], **kw)
+    assert M.read_log(spark, out).count() == 2
+    assert {r.rows for r in M.read_current(spark, out).collect()} == {6}
