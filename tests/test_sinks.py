@@ -78,3 +78,16 @@ def test_raw_copy(spark, tmp_path):
     assert (tmp_path / "o" / "k.csv.gz").read_bytes() == src.read_bytes()
     m = md5_files(spark.createDataFrame([("k", "file:" + str(src))], "key string, path string")).first()
     assert m.md5 == r.md5
+
+
+def test_register_custom_spark_format(spark, tmp_path):
+    from flatlake.sinks.formats import FORMATS, register_spark_format
+
+    fmt = register_spark_format("orc", "orc", "orc", default_compression="zstd", codecs={"zstd": "zstd", None: "none"})
+    try:
+        out = str(tmp_path / "orc")
+        fmt.write(_batch(spark, 5), out, "default", ["part"])
+        assert spark.read.orc(out).count() == 5
+        assert "orc" in format_names()
+    finally:
+        FORMATS.pop("orc", None)
