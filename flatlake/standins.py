@@ -790,12 +790,14 @@ def q_flagship(spark, sf_dir):
     picked = rows.join(latest, "key", "left_semi")
     filtered = filter_tickers(picked, "ticker", ["U7"], ["U1"])
     conv = convert_epochs(filtered, resolve_timestamp_columns(filtered.schema, "auto"), "ns")
-    with_iso = conv.withColumn("iso", iso_from_epoch_ns("sip_timestamp_ns"))
-    return with_iso.groupBy("key", "event_type").agg(
+    # Aggregate numbers (hash aggregate) and render text afterwards; a min
+    # over strings would force a sort-based aggregate.
+    agg = conv.groupBy("key", "event_type").agg(
         F.count(F.lit(1)).alias("rows"),
-        F.min("iso").alias("first_iso"),
+        F.min("sip_timestamp_ns").alias("_first_ns"),
         F.max("sip_timestamp").cast("timestamp_ntz").alias("last_ts"),
     )
+    return agg.select("key", "event_type", "rows", iso_from_epoch_ns("_first_ns").alias("first_iso"), "last_ts")
 
 
 QUERIES = {
