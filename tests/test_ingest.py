@@ -183,3 +183,13 @@ def test_manifest_auto_compaction(spark, bucket, tmp_path):
     ingest(spark, bucket, out, ["options/quotes"], ticker_prefixes=["O:AAPL"], **kw)
     assert M.read_log(spark, out).count() == 2
     assert {r.rows for r in M.read_current(spark, out).collect()} == {6}
+
+
+def test_two_datasets_keep_their_own_columns(spark, bucket, tmp_path):
+    out = str(tmp_path / "out")
+    run = ingest(spark, bucket, out, ["options/quotes", "stocks/day_aggs"], start_date=date(2025, 3, 17), end_date=date(2025, 3, 17))
+    assert sorted(r.status for r in run.result.collect()) == ["written", "written"]
+    q = spark.read.parquet(out + "/asset_class=us_options_opra/data_type=quotes_v1")
+    a = spark.read.parquet(out + "/asset_class=us_stocks_sip/data_type=day_aggs_v1")
+    assert "volume" not in q.columns and "ask_price" in q.columns
+    assert "ask_price" not in a.columns and dict(a.dtypes)["otc"] == "boolean"
