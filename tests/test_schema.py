@@ -126,3 +126,32 @@ def test_zstd_and_bz2_sources(spark, tmp_path):
         assert g["schema"]["px"].dataType == T.DoubleType()
         df = scan_csv(spark, ["file:" + str(tmp_path / name)], g["schema"])
         assert sorted(r.px for r in df.collect()) == [1.5, 2.5]
+
+
+def test_census_type_order(spark, tmp_path):
+    cols = {
+        "i": ["1", "0", "-5", ""],
+        "b": ["true", "1", "FALSE", "NA"],
+        "d": ["2025-01-01", "2024-02-29", "", ""],
+        "t": ["12:30:00", "01:02:03", "", ""],
+        "ts": ["2025-01-01 10:00:00", "2025-01-01T10:00:00.5", "", ""],
+        "f": ["1.5", "2", "1e3", "nan"],
+        "big": ["99999999999999999999", "1", "", ""],
+        "s": ["abc", "1", "", ""],
+        "nul": ["", "NULL", "", ""],
+        "otc": ["", "", "", ""],
+    }
+    header = list(cols)
+    lines = [",".join(header)] + [",".join(cols[c][i] for c in header) for i in range(4)]
+    data = ("\n".join(lines) + "\n").encode()
+    g = _one_schema(spark, tmp_path, data, "types.csv")
+    got = {f.name: f.dataType for f in g["schema"].fields}
+    assert got == {
+        "i": T.LongType(), "b": T.BooleanType(), "d": T.DateType(), "t": T.StringType(),
+        "ts": T.TimestampNTZType(), "f": T.DoubleType(), "big": T.DoubleType(), "s": T.StringType(),
+        "nul": T.StringType(), "otc": T.BooleanType(),
+    }
+    rows = scan_csv(spark, ["file:" + str(tmp_path / "types.csv")], g["schema"]).collect()
+    assert not any(r[ROW_BAD] for r in rows)
+    assert [r.b for r in rows] == [True, True, False, None]
+    assert [r.s for r in rows] == ["abc", "1", "", ""]
