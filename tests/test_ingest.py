@@ -193,3 +193,19 @@ def test_two_datasets_keep_their_own_columns(spark, bucket, tmp_path):
     a = spark.read.parquet(out + "/asset_class=us_stocks_sip/data_type=day_aggs_v1")
     assert "volume" not in q.columns and "ask_price" in q.columns
     assert "ask_price" not in a.columns and dict(a.dtypes)["otc"] == "boolean"
+
+
+def test_lz4_source_rejected_alone(spark, bucket, tmp_path):
+    import pyarrow as pa
+
+    raw = b"ticker,ask_price,bid_price,sip_timestamp\nO:AAPL1,1.0,0.5,5\n"
+    sink = pa.BufferOutputStream()
+    with pa.CompressedOutputStream(sink, "lz4") as out:
+        out.write(raw)
+    write_objects(bucket, {"us_options_opra/quotes_v1/2025/03/2025-03-21.csv.lz4": sink.getvalue().to_pybytes()})
+    run = ingest(spark, bucket, str(tmp_path / "out"), ["options/quotes"], start_date=date(2025, 3, 17),
+                 end_date=date(2025, 3, 21), path_template="{dataset}/{filename}.{ext}")
+    res = {r.key.rsplit("/", 1)[-1]: r for r in run.result.collect()}
+    assert res["2025-03-21.csv.lz4"].status == "failed"
+    assert "lz4" in res["2025-03-21.csv.lz4"].error
+    assert res["2025-03-17.csv.gz"].status == "written"
