@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import suffix_dedup
+from . import automaton_dedup, minhash_bayes, suffix_dedup
 
 QUERIES = {
     "op1_suffix_array_dedup": suffix_dedup.op1_suffix_array_dedup,
+    "op5_suffix_automaton_dedup": automaton_dedup.op5_suffix_automaton_dedup,
+    "op8_minhash_bayes": minhash_bayes.op8_minhash_bayes,
 }
 
 SQL: dict[str, str] = {}
