@@ -11,6 +11,8 @@ from ..session import scratch_path
 
 #: Buckets up to this size compare their remaining pairs in one equi-join; larger ones take PIVOTS members at a time.
 SMALL, PIVOTS = 48, 32
+#: At most this many ids (8 bytes each) are broadcast to filter a table.
+BROADCAST_IDS = 1_000_000
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -21,6 +23,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def only(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """Rows of *df* whose *column* is in the table ``ids(column)`` of distinct values.
+
+    The ids are broadcast if there are at most BROADCAST_IDS of them (a bounded
+    size); more of them are joined by a shuffle.
+    """
+    return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, column, "left_semi")
+
+
 def components(links: DataFrame) -> DataFrame:
     """Distributed union-find: ``(id, component)`` for every end of a link (a, b); component = smallest id reachable.
 
@@ -57,7 +68,7 @@ def components(links: DataFrame) -> DataFrame:
 def linked_components(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Components under all verified links between members of a common bucket.
 
-    ``members(key, id)``: candidate buckets.  ``verify(pairs(a, b))`` returns
+    ``members(key, id)``: candidate buckets, each row once.  ``verify(pairs(a, b))`` returns
     the pairs that are links.  Pairs of a bucket are not all emitted: each
     member first meets the bucket's smallest and largest id.  Only buckets
     whose members are still in several components go on, and there only pairs
@@ -66,7 +77,7 @@ def linked_components(members: DataFrame, verify: Callable[[DataFrame], DataFram
     So the components are those of all candidate pairs, without a cap.
     Returns ``(id, component)`` for ids with a link.
     """
-    counted = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi")).filter("n > 1 and lo < hi")
+    counted = members.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi")
     opened = written(members.join(counted, "key"), "buckets")
     ends = opened.select("id", F.explode(F.array("lo", "hi")).alias("p")).filter("id != p")
     links = written(verify(pair_of(ends, "id", "p")), "links")

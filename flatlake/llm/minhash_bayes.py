@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .linking import linked_components, written
+from .linking import linked_components, only, written
 from .textkit import LOWER, Prefix, U, buffer_of, mix, pieces, word_hashes, words
 
 LAST_ID = (1 << 63) - 1
@@ -180,13 +180,13 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str
             # the first call's pairs reach every id that shares a bucket with another one
             ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
             involved = written(ids, "involved")
-            store["signatures"] = written(signed.filter("n > 0").select("id", "signature").join(involved, "id"), "signatures")
+            store["signatures"] = written(only(signed.filter("n > 0").select("id", "signature"), involved, "id"), "signatures")
             store["involved"] = involved
         sig = store["signatures"]
         both = pairs.join(sig.withColumnRenamed("id", "b"), "b").withColumnRenamed("signature", "y").join(sig.withColumnRenamed("id", "a"), "a")
         likely = written(both.select("a", "b", F.col("signature").alias("x"), "y").mapInArrow(_plausible(percent / 100), "a bigint, b bigint").distinct(), "likely")
         if "texts" not in store:
-            store["texts"] = written(narrow.filter(F.length("text") > 0).join(store["involved"], "id").select("id", "text"), "texts")
+            store["texts"] = written(only(narrow.filter(F.octet_length("text") > 0), store["involved"], "id"), "texts")
         texts = store["texts"]
         sides = likely.join(texts.withColumnRenamed("id", "b"), "b").withColumnRenamed("text", "y").join(texts.withColumnRenamed("id", "a"), "a")
         return sides.select("a", "b", F.col("text").alias("x"), "y").mapInArrow(_exact(k, percent), "a bigint, b bigint").distinct()

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from . import automaton_dedup, chat_windows, minhash_bayes, pu_classifier, quality_rules, suffix_dedup
+from . import automaton_dedup, chat_windows, decontaminate, licenses, line_dedup, minhash_bayes, mixing, pu_classifier, quality_rules, suffix_dedup
 
 QUERIES = {
     "op1_suffix_array_dedup": suffix_dedup.op1_suffix_array_dedup,
+    "op2_decontamination": decontaminate.op2_decontamination,
+    "op3_temperature_mix": mixing.op3_temperature_mix,
+    "op4_licence_sentences": licenses.op4_licence_sentences,
     "op5_suffix_automaton_dedup": automaton_dedup.op5_suffix_automaton_dedup,
     "op6_chat_windows": chat_windows.op6_chat_windows,
+    "op7_line_minhash": line_dedup.op7_line_minhash,
     "op8_minhash_bayes": minhash_bayes.op8_minhash_bayes,
     "op9_certified_rules": quality_rules.op9_certified_rules,
     "op10_pu_quality": pu_classifier.op10_pu_quality,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {**licenses.SQL}
