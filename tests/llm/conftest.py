@@ -1,0 +1,8 @@
+import pytest
+
+from flatlake.session import ship_package
+
+
+@pytest.fixture(autouse=True)
+def shipped(spark):
+    ship_package(spark)
