@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 #: Buckets up to this size compare their remaining pairs in one equi-join; larger ones take PIVOTS members at a time.
-SMALL, PIVOTS = 48, 32
+SMALL, PIVOTS = 256, 128
 #: At most this many ids (8 bytes each) are broadcast to filter a table.
 BROADCAST_IDS = 1_000_000
 
@@ -102,11 +102,20 @@ def linked_components(members: DataFrame, verify: Callable[[DataFrame], DataFram
             pivots = written(pivots.select("key", F.col("id").alias("p"), F.col("label").alias("other")), "pivots")
             pairs = pairs.unionByName(many.join(pivots, "key").filter("label != other").select("id", "p"))
             opened = many.join(pivots, (many["key"] == pivots["key"]) & (many["id"] == pivots["p"]), "left_anti").select("key", "id")
-        links = written(links.unionByName(verify(pair_of(pairs, "id", "p"))), "links")
-        known = written(components(links), "components")
+        known = joined(known, written(verify(pair_of(pairs, "id", "p")), "links"))
         if not sizes[1]:
             return known
 
 
+def joined(known: DataFrame, links: DataFrame) -> DataFrame:
+    """*known* components after further links: only the components that a link touches are contracted again."""
+    name = lambda df, end: df.join(known.select(F.col("id").alias(end), F.col("component").alias(f"c{end}")), end, "left").withColumn(f"c{end}", F.coalesce(f"c{end}", end))
+    over = components(name(name(links, "a"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    ends = links.select(F.explode(F.array("a", "b")).alias("id")).distinct().withColumn("component", F.col("id"))
+    everyone = known.unionByName(ends.join(known, "id", "left_anti"))
+    lower = over.select(F.col("id").alias("component"), F.col("component").alias("lower"))
+    return written(everyone.join(lower, "component", "left").select("id", F.coalesce("lower", "component").alias("component")), "components")
+
+
 def pair_of(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()

@@ -105,8 +105,8 @@ def certified(stats: DataFrame, labels: DataFrame, risk: float = 0.05, delta: fl
             hist = np.zeros((2, len(cutoffs) + 1))
             for q, slot, n in pdf.loc[pdf["rule"] == rule, ["quality", "slot", "count"]].itertuples(index=False):
                 hist[int(q), int(slot)] += n
-            # slot s: beyond the s loosest cutoffs, so cutoff j rejects slots j + 1 and up
-            beyond = hist[:, ::-1].cumsum(axis=1)[:, ::-1][:, 1:]
+            # slot s: beyond the s tightest cutoffs, so cutoff j (0 is the loosest) rejects slots len - j and up
+            beyond = hist[:, ::-1].cumsum(axis=1)[:, :-1]
             found = chosen_cutoff(cutoffs, beyond[1], beyond[0], hist[1].sum(), hist[0].sum(), per_rule, level)
             if found is not None:
                 out.append((pdf["stratum"].iloc[0], rule, found))
