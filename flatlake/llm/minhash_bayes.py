@@ -6,16 +6,18 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .linking import linked_components, only, written
+from .linking import components, joined, only, pair_of, written
 from .textkit import LOWER, Prefix, U, buffer_of, mix, pieces, word_hashes, words
 
 LAST_ID = (1 << 63) - 1
 #: Hash functions, rows of a band, hashes compared at a time, and the chance of missing a true link at each look.
 HASHES, ROWS, BATCH, MISS = 120, 5, 20, 1e-7
 STEP = 1 << 20
+#: Families up to FEW members compare their open pairs directly; larger ones take a centre from CENTRE_SAMPLE members.
+FEW, CENTRE_SAMPLE = 16, 64
 
 _RNG = np.random.RandomState(77)
 _XOR = _RNG.randint(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32)
@@ -148,6 +150,137 @@ def _exact(k: int, percent: int):
     return run
 
 
+def _differences(k: int, percent: int):
+    """(fam, id, text, centre) -> what a document's set and its family's centre do not share, and its weight.
+
+    For sets x, y and any centre M let D = x xor M.  Then x and y are linked
+    exactly if 2 (100 + percent) |Dx & Dy| >= Qx + Qy with
+    Q = 200 |M - x| + 2 percent |x - M| - (100 - percent) |M|.
+    """
+
+    def run(batches):
+        for batch in batches:
+            keep, weights, parts = [], [], []
+            for i in range(batch.num_rows):
+                text = batch.column(2)[i].as_buffer()
+                data = np.frombuffer(text, np.uint8)
+                own = shingle_sets(data, np.array([0, len(data)]), k)[0]
+                centre = np.sort(batch.column(3)[i].values.to_numpy(zero_copy_only=False).view(U))
+                missing = np.setdiff1d(centre, own, assume_unique=True)
+                added = np.setdiff1d(own, centre, assume_unique=True)
+                weights.append(200 * len(missing) + 2 * percent * len(added) - (100 - percent) * len(centre))
+                parts.append(np.concatenate([missing, added]))
+                keep.append(i)
+            at = np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int32)
+            flat = np.concatenate(parts).view(np.int64) if parts else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.array(weights, np.int64)), pa.ListArray.from_arrays(pa.array(at), pa.array(flat))], names=["fam", "id", "q", "differs"])
+
+    return run
+
+
+def _elements(k: int):
+    def run(batches):
+        for batch in batches:
+            data, offsets = buffer_of(batch.column(1))
+            fams = batch.column(0).to_numpy(zero_copy_only=False)
+            sets = shingle_sets(data, offsets, k)
+            yield pa.RecordBatch.from_pydict({"fam": np.repeat(fams, [len(x) for x in sets]), "e": (np.concatenate(sets) if sets else np.zeros(0, U)).view(np.int64)})
+
+    return run
+
+
+class Linker:
+    """Links and components of representatives that share a band, without comparing all pairs of a bucket.
+
+    1. Every member of a bucket meets the bucket's smallest id.  What is in one
+       component then is settled.
+    2. Families are the components of those comparisons, linked or not.  A
+       family of at most FEW members that is not settled compares its other
+       pairs across components.
+    3. A larger one gets a centre: the shingles that most of a bounded sample
+       of its members hold (any set would do, a near one is fast).  Two members
+       whose weights add up to no more than zero are linked and so is each of
+       them with the member of least weight; any other link needs shingles in
+       common among the differences from the centre, at least as many as the
+       weights say.  So all members meet the one of least weight, and an index
+       on differences (held by two or more, rarest first, only as many as the
+       bound needs) brings the others together: first with the least of each
+       index entry, then, across components, with each other.
+
+    Every pair goes through the posterior bound on signatures and then the
+    exact comparison.  No bucket, family or entry is cut.
+    """
+
+    def __init__(self, narrow: DataFrame, signed: DataFrame, k: int, percent: int):
+        self.narrow, self.signed, self.k, self.percent = narrow, signed, k, percent
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """Links among ``pairs(a, b)``."""
+        both = pairs.join(self.signatures.withColumnRenamed("id", "b"), "b").withColumnRenamed("signature", "y").join(self.signatures.withColumnRenamed("id", "a"), "a")
+        likely = written(both.select("a", "b", F.col("signature").alias("x"), "y").mapInArrow(_plausible(self.percent / 100), "a bigint, b bigint").distinct(), "likely")
+        sides = likely.join(self.texts.withColumnRenamed("id", "b"), "b").withColumnRenamed("text", "y").join(self.texts.withColumnRenamed("id", "a"), "a")
+        return written(sides.select("a", "b", F.col("text").alias("x"), "y").mapInArrow(_exact(self.k, self.percent), "a bigint, b bigint").distinct(), "links")
+
+    def linked(self, members: DataFrame) -> DataFrame:
+        """``(id, component)`` of every id with a link, from buckets ``members(key, id)``."""
+        least = members.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").drop("hi")
+        met = written(members.join(least, "key").filter("id != lo").select(F.col("lo").alias("a"), F.col("id").alias("b")).distinct(), "met")
+        involved = written(met.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "involved")
+        self.signatures = written(only(self.signed.filter("n > 0").select("id", "signature"), involved, "id"), "signatures")
+        self.texts = written(only(self.narrow.filter(F.octet_length("text") > 0), involved, "id"), "texts")
+        known = written(components(self.verified(met)), "components")
+        families = written(components(met).withColumnRenamed("component", "fam"), "families")
+        labelled = self._labelled(families, known)
+        mixed = labelled.groupBy("fam").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y and size > 2").select("fam", "size")
+        open_members = written(labelled.join(mixed, "fam"), "open")
+        few = open_members.filter(F.col("size") <= FEW)
+        other = few.select("fam", F.col("id").alias("p"), F.col("label").alias("other"))
+        pairs = few.join(other, "fam").filter("id < p and label != other").select(F.col("id").alias("a"), F.col("p").alias("b"))
+        large = open_members.filter(F.col("size") > FEW).select("fam", "id")
+        if large.isEmpty():
+            return joined(known, self.verified(pairs.distinct().join(met, ["a", "b"], "left_anti")))
+        entries = self._index(large)
+        hubs = self._hubs(entries)
+        known = joined(known, self.verified(pairs.unionByName(hubs).distinct().join(met, ["a", "b"], "left_anti")))
+        labelled = self._labelled(entries, known)
+        mixed = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("key")
+        rest = written(labelled.join(mixed, "key").select("key", "id", "q", "d", "label"), "entries")
+        right = rest.select("key", F.col("id").alias("p"), F.col("q").alias("pq"), F.col("d").alias("pd"), F.col("label").alias("other"))
+        close = rest.join(right, "key").filter(f"id < p and label != other and q + pq <= {2 * (100 + self.percent)} * least(d, pd)")
+        # entries that a pair must share by its weights, counted over the entries kept for it
+        last = close.select(F.col("id").alias("a"), F.col("p").alias("b")).distinct()
+        return joined(known, self.verified(last.join(met, ["a", "b"], "left_anti")))
+
+    @staticmethod
+    def _labelled(rows: DataFrame, known: DataFrame) -> DataFrame:
+        return rows.join(known, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
+
+    def _index(self, large: DataFrame) -> DataFrame:
+        """``(key, id, q, d, fam)``: members of large families under the differences they must share to be linked."""
+        turn = Window.partitionBy("fam").orderBy(F.xxhash64("id"), "id")
+        sample = large.withColumn("turn", F.row_number().over(turn)).filter(F.col("turn") <= CENTRE_SAMPLE).select("fam", "id")
+        sample = written(sample, "centre-sample")
+        sizes = sample.groupBy("fam").agg(F.count(F.lit(1)).alias("m"))
+        held = sample.join(self.texts, "id").select("fam", "text").mapInArrow(_elements(self.k), "fam bigint, e bigint").groupBy("fam", "e").agg(F.count(F.lit(1)).alias("c"))
+        centre = held.join(sizes, "fam").filter("2 * c > m").groupBy("fam").agg(F.collect_list("e").alias("centre"))
+        centre = written(sizes.select("fam").join(centre, "fam", "left").select("fam", F.coalesce("centre", F.array().cast("array<bigint>")).alias("centre")), "centres")
+        placed = large.join(self.texts, "id").join(centre, "fam").select("fam", "id", "text", "centre")
+        self.apart = written(placed.mapInArrow(_differences(self.k, self.percent), "fam bigint, id bigint, q bigint, differs array<bigint>"), "apart")
+        least = self.apart.groupBy("fam").agg(F.min("q").alias("least"))
+        need = F.greatest(F.lit(1), F.ceil((F.col("q") + F.col("least")) / F.lit(2.0 * (100 + self.percent))))
+        each = self.apart.join(least, "fam").select("fam", "id", "q", F.size("differs").alias("d"), need.alias("need"), F.explode("differs").alias("e"))
+        held = self.apart.select("fam", F.explode("differs").alias("e")).groupBy("fam", "e").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+        own = Window.partitionBy("fam", "id")
+        kept = each.join(held, ["fam", "e"]).withColumn("n", F.count(F.lit(1)).over(own)).filter("n >= need").withColumn("turn", F.row_number().over(own.orderBy("c", "e"))).filter("turn <= n - need + 1")
+        return written(kept.select(F.xxhash64("fam", "e").alias("key"), "fam", "id", "q", "d"), "index")
+
+    def _hubs(self, entries: DataFrame) -> DataFrame:
+        hub = self.apart.groupBy("fam").agg(F.min(F.struct("q", "id")).alias("hub")).select("fam", F.col("hub.id").alias("p"))
+        whole = self.apart.join(hub, "fam").select("id", "p")
+        of_entry = entries.groupBy("key").agg(F.min(F.struct("q", "id")).alias("hub"), F.count(F.lit(1)).alias("m")).filter("m > 1").select("key", F.col("hub.id").alias("p"))
+        return pair_of(whole.unionByName(entries.join(of_entry, "key").select("id", "p")).filter("id != p"), "id", "p")
+
+
 def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id_col, n_shingles, component_id, kept)`` for every row of *docs*.
 
@@ -160,6 +293,7 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str
     band of ROWS MinHashes agrees (a pair at 0.85 is missed by all 24 bands
     with probability 8e-7; at 0.8 with 8e-5); pairs are pruned by the posterior
     bound on their signatures and every survivor is verified on full sets.
+    ``Linker`` says which pairs are compared.
 
     Defined cases: a null or empty text has an empty set and is linked with
     nothing; fewer than k words are one shingle; a null id counts as the
@@ -172,26 +306,7 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str
     folded = signed.filter("n > 0").groupBy("set_a", "set_b", "n").agg(F.min("id").alias("rep"))
     leaders = signed.filter("n > 0").join(folded, ["set_a", "set_b", "n"]).filter("id = rep")
     members = leaders.select(F.explode("bands").alias("key"), "id").distinct()
-
-    store: dict[str, DataFrame] = {}
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        if "involved" not in store:
-            # the first call's pairs reach every id that shares a bucket with another one
-            ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-            involved = written(ids, "involved")
-            store["signatures"] = written(only(signed.filter("n > 0").select("id", "signature"), involved, "id"), "signatures")
-            store["involved"] = involved
-        sig = store["signatures"]
-        both = pairs.join(sig.withColumnRenamed("id", "b"), "b").withColumnRenamed("signature", "y").join(sig.withColumnRenamed("id", "a"), "a")
-        likely = written(both.select("a", "b", F.col("signature").alias("x"), "y").mapInArrow(_plausible(percent / 100), "a bigint, b bigint").distinct(), "likely")
-        if "texts" not in store:
-            store["texts"] = written(only(narrow.filter(F.octet_length("text") > 0), store["involved"], "id"), "texts")
-        texts = store["texts"]
-        sides = likely.join(texts.withColumnRenamed("id", "b"), "b").withColumnRenamed("text", "y").join(texts.withColumnRenamed("id", "a"), "a")
-        return sides.select("a", "b", F.col("text").alias("x"), "y").mapInArrow(_exact(k, percent), "a bigint, b bigint").distinct()
-
-    linked = linked_components(members, verify)
+    linked = Linker(narrow, signed, k, percent).linked(members)
     grouped = folded.join(linked, F.col("rep") == F.col("id"), "left").select("set_a", "set_b", "n", F.coalesce("component", "rep").alias("component"))
     placed = signed.select("id", "n", "set_a", "set_b").join(grouped, ["set_a", "set_b", "n"], "left")
     placed = placed.select("id", "n", F.coalesce("component", "id").alias("component"))

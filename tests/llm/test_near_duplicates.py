@@ -3,7 +3,7 @@ from math import comb
 
 import pytest
 
-from flatlake.llm import linking
+from flatlake.llm import linking, minhash_bayes
 from flatlake.llm.line_dedup import dedup_lines, line_classes
 from flatlake.llm.linking import components
 from flatlake.llm.minhash_bayes import least_matches, near_duplicates
@@ -56,10 +56,10 @@ def edited_rows(seed, families=8, copies=12):
     return rows + [(i, None), (i + 1, ""), (i + 2, "two words"), (i + 3, "Two  words"), (i + 4, "words two")]
 
 
-@pytest.mark.parametrize("k, percent, small", [(3, 85, 48), (5, 80, 3)])
-def test_documents_against_brute_force(spark, monkeypatch, k, percent, small):
-    monkeypatch.setattr(linking, "SMALL", small)
-    monkeypatch.setattr(linking, "PIVOTS", 2)
+@pytest.mark.parametrize("k, percent, few", [(3, 85, 16), (3, 85, 2), (5, 80, 3)])
+def test_documents_against_brute_force(spark, monkeypatch, k, percent, few):
+    monkeypatch.setattr(minhash_bayes, "FEW", few)
+    monkeypatch.setattr(minhash_bayes, "CENTRE_SAMPLE", 5)
     rows = edited_rows(k)
     sets = {d: shingles(t, k) for d, t in rows}
     want = groups_of(sets, lambda n, u: 100 * n >= percent * u)
@@ -130,7 +130,9 @@ def brute_lines(rows, similarity=0.8):
     return {(d, n): group[first[x]] for d, n, x in places}
 
 
-def test_lines_against_brute_force(spark):
+def test_lines_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(linking, "SMALL", 3)
+    monkeypatch.setattr(linking, "PIVOTS", 2)
     rows = line_rows()
     want = brute_lines(rows)
     df = make_docs(spark, rows)
