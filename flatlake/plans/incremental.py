@@ -11,8 +11,10 @@ JOIN existing outputs on ``rel``, then a CASE:
 * otherwise                                       -> pull  (new)
 
 Both sides are file metadata (one row per file), so the joins are cheap; AQE
-picks broadcast when a side is small.  Outputs sharing one physical partition
-are pulled together, so a partition overwrite never drops a sibling file.
+picks broadcast when a side is small.  In ``ingest`` every source file owns its
+output location, so files are skipped, rewritten and failed one by one; a table
+whose partitions hold several files can pass ``group_cols`` to pull a partition
+as a whole.
 """
 
 from __future__ import annotations
@@ -20,8 +22,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-PLAN_EXTRA = ["rel", "action", "reason"]
-
 
 def plan_actions(
     files: DataFrame,
@@ -72,10 +72,6 @@ def plan_actions(
     return planned.drop("_m_etag", "_m_sig", "_m_written", "_m_has", "_exists")
 
 
-def files_to_pull(planned: DataFrame) -> DataFrame:
-    return planned.filter(F.col("action") == "pull")
-
-
 def new_files(files: DataFrame, current: DataFrame) -> DataFrame:
     """Files with no manifest entry at all (left anti join on ``rel``)."""
     return files.join(current.select("rel"), "rel", "left_anti")

@@ -5,6 +5,11 @@ leading underscore hides it from readers of the output table).  Every run
 appends its entries; forgetting a path appends a tombstone.  The current
 state is the newest row per ``rel``; a window over ``rel`` only ever sees one
 row per run, so it stays small however large the table grows.
+
+Compaction writes a snapshot generation: the current rows and the names of the
+log files they cover.  Readers take the newest complete snapshot and the log
+files it does not cover, so the live log is never moved or rewritten, an entry
+appended meanwhile stays, and a crash leaves the generation before.
 """
 
 from __future__ import annotations
@@ -15,9 +20,8 @@ from typing import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from ..session import path_exists
+from ..session import glob_paths
 
 MANIFEST_DIR = "_manifest"
 MANIFEST_SCHEMA = (
@@ -42,17 +46,38 @@ def empty_log(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], MANIFEST_SCHEMA)
 
 
+SNAPSHOT_DIR = "_manifest_snapshots"
+
+
+def _log_files(spark: SparkSession, output_root: str) -> list[str]:
+    return sorted(glob_paths(spark, manifest_path(output_root) + "/*.parquet"))
+
+
+def _snapshot(spark: SparkSession, output_root: str) -> tuple[str | None, set[str]]:
+    """Newest complete snapshot and the names of the log files it covers."""
+    done = sorted(glob_paths(spark, f"{output_root.rstrip('/')}/{SNAPSHOT_DIR}/*/covered/_SUCCESS"))
+    if not done:
+        return None, set()
+    folder = done[-1].removesuffix("/covered/_SUCCESS")
+    return folder, {r[0] for r in spark.read.parquet(f"{folder}/covered").collect()}
+
+
+def _uncovered(spark: SparkSession, output_root: str, covered: set[str]) -> list[str]:
+    return [f for f in _log_files(spark, output_root) if f.rsplit("/", 1)[-1] not in covered]
+
+
+def log_files_to_read(spark: SparkSession, output_root: str) -> int:
+    return len(_uncovered(spark, output_root, _snapshot(spark, output_root)[1]))
+
+
 def read_log(spark: SparkSession, output_root: str) -> DataFrame:
-    """The whole log; empty when absent.  A log that cannot be read raises."""
-    path = manifest_path(output_root)
-    if not path_exists(spark, path):
+    """Newest snapshot and the log files after it; empty when absent.  A log that cannot be read raises."""
+    folder, covered = _snapshot(spark, output_root)
+    files = _uncovered(spark, output_root, covered)
+    frames = [spark.read.schema(MANIFEST_SCHEMA).parquet(*x) for x in ([f"{folder}/entries"] if folder else [], files) if x]
+    if not frames:
         return empty_log(spark)
-    try:
-        return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
-            return empty_log(spark)
-        raise
+    return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
 
 
 def current_entries(log: DataFrame) -> DataFrame:
@@ -99,23 +124,17 @@ def forget(spark: SparkSession, output_root: str, rels: Iterable[str]) -> None:
 
 
 def compact(spark: SparkSession, output_root: str) -> int:
-    """Rewrite the log as its current view (one row per live ``rel``).
-
-    The new log is written next to the old one and swapped in with two
-    renames; the old log is kept under ``_manifest.replaced-<run>``.  Returns
-    the number of entries kept.
-    """
-    from ..session import rename_path
-
-    path = manifest_path(output_root)
-    if not path_exists(spark, path):
+    """Write a snapshot of the current view (one row per live ``rel``); returns its number of entries."""
+    files = _log_files(spark, output_root)
+    if not files:
         return 0
-    run_id = new_run_id()
-    cur = read_current(spark, output_root).withColumn("run_id", F.lit(run_id)).withColumn("op", F.lit("record"))
-    cur = cur.select(*[f.split(" ")[0] for f in MANIFEST_SCHEMA.split(", ")])
-    fresh = f"{path}.compact-{run_id}"
-    cur.coalesce(1).write.mode("error").parquet(fresh)
-    n = spark.read.parquet(fresh).count()
-    rename_path(spark, path, f"{path}.replaced-{run_id}")
-    rename_path(spark, fresh, path)
-    return n
+    folder, covered = _snapshot(spark, output_root)
+    names = [f.rsplit("/", 1)[-1] for f in files]
+    fresh = [f for f, n in zip(files, names) if n not in covered]
+    log = [spark.read.schema(MANIFEST_SCHEMA).parquet(*x) for x in ([f"{folder}/entries"] if folder else [], fresh) if x]
+    live = current_entries(log[0] if len(log) == 1 else log[0].unionByName(log[1])).withColumn("op", F.lit("record"))
+    target = f"{output_root.rstrip('/')}/{SNAPSHOT_DIR}/{new_run_id()}"
+    live.select(*[f.split(" ")[0] for f in MANIFEST_SCHEMA.split(", ")]).write.mode("error").parquet(f"{target}/entries")
+    # the list of covered files is written last: with its _SUCCESS the snapshot counts
+    spark.createDataFrame([(n,) for n in names], "file string").write.mode("error").parquet(f"{target}/covered")
+    return spark.read.parquet(f"{target}/entries").count()

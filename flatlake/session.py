@@ -7,6 +7,7 @@ the session has none (local runs and tests).
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -149,6 +150,19 @@ def rename_paths(spark: SparkSession, pairs) -> int:
     return done
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder of our own."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def file_uri(spark: SparkSession, path: str) -> str:
+    """*path* as ``_metadata.file_path`` spells it (URL-encoded where needed)."""
+    if re.fullmatch(r"[A-Za-z0-9/_.:=+-]*", path):
+        return path
+    return str(spark._jvm.org.apache.hadoop.fs.Path(path).toUri().toString())
+
+
 def qualify(spark: SparkSession, path: str) -> str:
     """Fully qualified URI of *path* (``file:/...`` for local paths)."""
     fs, p = _fs(spark, path)

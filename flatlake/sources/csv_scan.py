@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from ..config import FALSE_TOKENS, NULL_TOKENS, TRUE_TOKENS
 from ..session import bounded_listing
-from .schema import FLOAT_PATTERN, INT_PATTERN, compression_for_name
+from .schema import CSV_OPTIONS, FLOAT_PATTERN, INT_PATTERN, compression_for_name
 
 BAD_COL = "_bad"
 ROW_BAD = "_row_bad"
@@ -69,9 +69,8 @@ def read_text_columns(spark: SparkSession, paths: Sequence[str], columns: Sequen
     reader = (
         spark.read.schema(string_schema(columns))
         .option("header", True)
-        .option("mode", "PERMISSIVE")
+        .options(**CSV_OPTIONS)
         .option("columnNameOfCorruptRecord", BAD_COL)
-        .option("escape", '"')
         .option("multiLine", multi_line)
     )
     with bounded_listing(spark):
@@ -94,19 +93,34 @@ def typed_value(raw: Column, dtype: T.DataType) -> Column:
         return F.try_to_date(v, "yyyy-MM-dd")
     if isinstance(dtype, T.BinaryType):
         return F.encode(v, "UTF-8")
+    if isinstance(dtype, T.DecimalType) and dtype.scale == 0:
+        return F.when(v.rlike(INT_PATTERN), v.try_cast(dtype))
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        # microseconds are all a Spark timestamp holds: a finer non-zero fraction does not fit
+        return F.when(~v.rlike(r"[.][0-9]{6}[0-9]*[1-9]"), v.try_cast(dtype))
     return v.try_cast(dtype)
 
 
-def value_misfit(raw: Column, typed: Column, dtype: T.DataType) -> Column:
-    """True when a non-null text did not convert."""
+def value_misfit(raw: Column, typed: Column, dtype: T.DataType, most: int | None = None) -> Column:
+    """True when a non-null text did not convert, or lies outside ``[0, most]`` of an unsigned type."""
     if isinstance(dtype, T.StringType):
         return F.lit(False)
-    return raw.isNotNull() & ~raw.isin(list(NULL_TOKENS)) & typed.isNull()
+    misfit = raw.isNotNull() & ~raw.isin(list(NULL_TOKENS)) & typed.isNull()
+    if most is None:
+        return misfit
+    return misfit | F.coalesce((typed < 0) | (typed > F.lit(most).cast("decimal(20,0)")), F.lit(False))
+
 
+def quoted(name: str) -> Column:
+    """A column by its exact name, whatever characters it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
-def apply_schema(df: DataFrame, schema: T.StructType, keep: Sequence[str] | None = None) -> DataFrame:
+
+def apply_schema(df: DataFrame, schema: T.StructType, keep: Sequence[str] | None = None, limits: dict[str, int] | None = None) -> DataFrame:
     """Typed columns of *schema* (restricted to *keep*), ``_row_bad``, ``_path``.
 
+    *limits* are the largest values of unsigned columns.
+
     Only kept columns are converted and checked, like a parse that includes
     just those columns; a malformed row (wrong field count) is always bad.
     """
@@ -119,9 +133,9 @@ def apply_schema(df: DataFrame, schema: T.StructType, keep: Sequence[str] | None
     typed, misfits = [], [F.col(BAD_COL).isNotNull()]
     for n in names:
         dt = schema[n].dataType
-        t = typed_value(F.col(n), dt)
+        t = typed_value(quoted(n), dt)
         typed.append(t.alias(n))
-        misfits.append(value_misfit(F.col(n), t, dt))
+        misfits.append(value_misfit(quoted(n), t, dt, (limits or {}).get(n)))
     row_bad = reduce(lambda a, b: a | b, misfits)
     return df.select(*typed, row_bad.alias(ROW_BAD), F.col(PATH_COL))
 
@@ -132,16 +146,8 @@ def scan_csv(
     schema: T.StructType,
     columns: Sequence[str] | None = None,
     multi_line: bool = False,
+    limits: dict[str, int] | None = None,
 ) -> DataFrame:
     """Typed scan of files sharing one header; rows carry ``_row_bad`` and ``_path``."""
     raw = read_text_columns(spark, paths, schema.names, multi_line)
-    return apply_schema(raw, schema, columns)
-
-
-def file_failures(scanned: DataFrame) -> DataFrame:
-    """``(_path, bad_rows)`` for files with at least one bad row."""
-    return (
-        scanned.filter(F.col(ROW_BAD))
-        .groupBy(PATH_COL)
-        .agg(F.count(F.lit(1)).alias("bad_rows"))
-    )
+    return apply_schema(raw, schema, columns, limits)

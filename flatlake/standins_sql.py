@@ -235,8 +235,8 @@ WHERE NOT EXISTS (
     "signature": """
 SELECT o_orderpriority, s AS signature, sha256(s) AS signature_sha FROM (
   SELECT o_orderpriority,
-    'o_orderstatus:in=' || array_to_string(list_sort(list_distinct(list(o_orderstatus))), ',')
-    || ':prefix=' || array_to_string(list_sort(list_distinct(list(substr(CAST(o_custkey AS VARCHAR), 1, 1)))), ',') AS s
+    '{"column":"o_orderstatus","in":["' || array_to_string(list_sort(list_distinct(list(o_orderstatus))), '","')
+    || '"],"prefix":["' || array_to_string(list_sort(list_distinct(list(substr(CAST(o_custkey AS VARCHAR), 1, 1)))), '","') || '"]}' AS s
   FROM orders GROUP BY o_orderpriority)""",
     "catalog": _with(ORDERS_KEYS, CATALOG) + """
 SELECT dataset, asset_class, data_type, name, CAST(file_date AS VARCHAR) AS file_date, dir_year, dir_month,
