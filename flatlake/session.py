@@ -156,6 +156,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty object."""
+    fs, p = _fs(spark, path)
+    fs.create(p).close()
+
+
 def file_uri(spark: SparkSession, path: str) -> str:
     """*path* as ``_metadata.file_path`` spells it (URL-encoded where needed)."""
     if re.fullmatch(r"[A-Za-z0-9/_.:=+-]*", path):

@@ -12,7 +12,6 @@ the scan spreads the work of a few huge files.
 
 from __future__ import annotations
 
-from contextlib import contextmanager
 from functools import reduce
 from typing import Sequence
 
@@ -37,26 +36,6 @@ def check_codec(path: str) -> None:
         raise ValueError(f"{codec} compressed source files are not readable by Spark: {path}")
 
 
-@contextmanager
-def full_row_parsing(spark: SparkSession):
-    """Parse every field of each row while validating.
-
-    With CSV column pruning the parser tokenises only the projected columns,
-    so a row with too few or too many fields goes unnoticed.  Actions that
-    must flag malformed rows run inside this block.
-    """
-    key = "spark.sql.csv.parser.columnPruning.enabled"
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, "false")
-    try:
-        yield
-    finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
-
-
 def string_schema(columns: Sequence[str]) -> T.StructType:
     fields = [T.StructField(c, T.StringType(), True) for c in columns]
     return T.StructType(fields + [T.StructField(BAD_COL, T.StringType(), True)])

@@ -31,16 +31,21 @@ def export_daily_files(
     columns: Sequence[str],
     dataset_col: str = "dataset",
     date_col: str = "file_date",
+    suffix: str = "",
+    split: bool = True,
 ) -> list[str]:
     """Export *rows* (with ``dataset`` and ``file_date`` columns) as daily gzip CSVs.
 
+    *suffix* goes into the file names, for several exports of the same days.
     Returns the object keys written (relative to *root*).
     """
     stage = scratch_path(spark, "export-stage")
     data = stringify_timestamps(rows.select(*columns, F.col(dataset_col).alias("dataset"), F.col(date_col).cast("date").alias("file_date")))
     with session_conf(spark, WRITE_CONF):
+        # rebalancing splits a large day over several files; without it a day
+        # that the caller has put into one partition is one file
         (
-            data.hint("rebalance", "dataset", "file_date")
+            (data.hint("rebalance", "dataset", "file_date") if split else data)
             .write.partitionBy("dataset", "file_date")
             .option("header", True)
             .option("escape", '"')
@@ -59,7 +64,7 @@ def export_daily_files(
         ds = unquote(ds)
         n = seq[(ds, y, mo, d)]
         seq[(ds, y, mo, d)] += 1
-        name = f"{y}-{mo}-{d}.csv.gz" if n == 0 else f"{y}-{mo}-{d}.p{n:05d}.csv.gz"
+        name = f"{y}-{mo}-{d}{suffix}.csv.gz" if n == 0 else f"{y}-{mo}-{d}{suffix}.p{n:05d}.csv.gz"
         key = f"{ds}/{y}/{mo}/{name}"
         moves.append((p, f"{qroot}/{key}"))
         keys.append(key)

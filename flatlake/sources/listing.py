@@ -9,6 +9,7 @@ own listing frame with the same columns.
 
 from __future__ import annotations
 
+import re
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,9 +25,24 @@ def empty_listing(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], LISTING_SCHEMA)
 
 
-def listing(spark: SparkSession, root: str, prefixes: Sequence[str] | None = None) -> DataFrame:
+def _empty_objects(spark: SparkSession, folders: Sequence[str], skip: int) -> list[tuple]:
+    """Zero-byte objects directly in *folders*, which Spark's file sources leave out (one listing call per folder)."""
+    jvm, rows = spark._jvm, []
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        statuses = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+        for m in _EMPTY.finditer(jvm.scala.runtime.ScalaRunTime.stringOf(statuses)):
+            rows.append((m["path"][skip:], f"0-{int(m['time']) * 1000}", 0, m["path"]))
+    return rows
+
+
+_EMPTY = re.compile(r"path=(?P<path>[^;]*); isDirectory=false; length=0; [^}]*?modification_time=(?P<time>\d+)")
+
+
+def listing(spark: SparkSession, root: str, prefixes: Sequence[str] | None = None, empty_objects: bool = False) -> DataFrame:
     """List every object under *root* (or under ``root/<prefix>`` for each prefix;
-    an empty prefix list lists nothing).
+    an empty prefix list lists nothing).  Zero-byte objects are listed only with
+    *empty_objects*, directly in the given prefixes.
 
     The ETag stand-in is ``<size>-<mtime micros>``: it changes whenever an
     object is rewritten, which is what the incremental plan needs.
@@ -47,13 +63,18 @@ def listing(spark: SparkSession, root: str, prefixes: Sequence[str] | None = Non
             .select("path", "length", "modificationTime")
         )
     key = F.substr(F.col("path"), F.lit(len(qroot) + 2))
-    return files.select(
+    found = files.select(
         key.alias("key"),
         unquote_etag(F.concat_ws("-", F.col("length").cast("string"), F.unix_micros("modificationTime").cast("string"))).alias("etag"),
         F.coalesce(F.col("length"), F.lit(0)).cast("bigint").alias("size"),
         F.col("modificationTime").alias("last_modified"),
         F.col("path"),
     )
+    blank = _empty_objects(spark, targets, len(qroot) + 1) if empty_objects else []
+    if not blank:
+        return found
+    extra = spark.createDataFrame(blank, "key string, etag string, size bigint, path string")
+    return found.unionByName(extra.withColumn("last_modified", F.timestamp_micros(F.substring_index("etag", "-", -1).cast("bigint"))))
 
 
 def list_keys(listing_df: DataFrame, prefix: str) -> DataFrame:

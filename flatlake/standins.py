@@ -35,13 +35,13 @@ from .functions.epoch import (
 from .functions.signature import filter_signature_col
 from .functions.tickers import extract_underlying as underlying_col
 from .ingest import ingest
-from .operators.aggregates import rows_per_file as rows_per_file_op
+from .operators.aggregates import rows_per_file as rows_per_file_op, status_counts
 from .operators.filters import arrow_row_filter, filter_tickers, project as project_op
 from .operators.union import union_widened
 from .plans import manifest as M
 from .plans.incremental import new_files, plan_actions
 from .plans.paths import with_rel
-from .session import ensure_utc, scratch_path
+from .session import delete_path, ensure_utc, scratch_path, touch
 from .sinks.formats import get_format, read_output
 from .sinks.raw import copy_files, md5_files
 from .sources import catalog as C
@@ -575,7 +575,8 @@ def q_republish_overwrite(spark, sf_dir):
 def _orders_csv_export(spark, sf_dir, fmt="csv.gz") -> str:
     path = scratch_path(spark, "orders-export")
     o = table(spark, sf_dir, "orders")
-    get_format(fmt).write(o.repartition(4), path, "default", [])
+    # gzip files do not split: as many files as the session has task slots
+    get_format(fmt).write(o.repartition(spark.sparkContext.defaultParallelism), path, "default", [])
     return path
 
 
@@ -644,7 +645,7 @@ def q_sink_raw(spark, sf_dir):
     files = _export_files(spark, path)
     dest = scratch_path(spark, "raw-copy")
     jobs = files.select("key", "path", F.concat(F.lit(dest + "/"), F.col("key")).alias("dest"))
-    copied = copy_files(jobs, partitions=4)
+    copied = copy_files(jobs, partitions=spark.sparkContext.defaultParallelism)
     src_md5 = md5_files(files)
     return copied.join(src_md5.withColumnRenamed("md5", "src_md5"), "key").select(
         K.basename("key").alias("name"), (F.col("md5") == F.col("src_md5")).alias("same_md5"), "bytes"
@@ -685,8 +686,9 @@ def q_ingest_events(spark, sf_dir):
     src = scratch_path(spark, "vendor")
     export_daily_files(spark, rows, src, ["ticker", "value", "sip_timestamp"])
     out = scratch_path(spark, "ingested")
+    first, last = rows.agg(F.min("file_date"), F.max("file_date")).first()
     run = ingest(
-        spark, src, out, EVENT_DATASETS, start_date=date(2024, 1, 1), end_date=date(2024, 1, 31),
+        spark, src, out, EVENT_DATASETS, start_date=first, end_date=last,
         ticker_prefixes=["U1"], columns=["ticker", "value", "sip_timestamp"],
         path_template="{dataset}/{date}/{filename}.{ext}",
     )
@@ -751,8 +753,9 @@ def export_lineitem_files(spark, sf_dir) -> str:
 
 
 def ingest_lineitem_files(spark, src: str, out: str, force: bool = False):
+    days = C.build_catalog(list_objects(spark, src)).agg(F.min("file_date"), F.max("file_date")).first()
     return ingest(
-        spark, src, out, [LINEITEM_DATASET], start_date=date(1995, 1, 1), end_date=date(2001, 12, 31),
+        spark, src, out, [LINEITEM_DATASET], start_date=days[0], end_date=days[1],
         path_template="{dataset}/{date}/{filename}.{ext}", force=force,
     )
 
@@ -771,6 +774,99 @@ def q_ingest_lineitem(spark, sf_dir):
     ))
 
 
+# --------------------------------------------------------------------------- #
+# Files one by one: siblings of a day, outcomes, types that drift
+# --------------------------------------------------------------------------- #
+
+SIBLINGS = "us_events/siblings_v1"
+SIBLING_TEMPLATE = "{dataset}/{date}/{filename}.{ext}"
+
+
+def _event_rows(spark, sf_dir) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    return ev.select(
+        F.lit(SIBLINGS).alias("dataset"), F.col("ts").cast("date").alias("file_date"), "event_id",
+        F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("ticker"), "value",
+    )
+
+
+def _checked(run) -> None:
+    bad = run.result.filter(F.col("status") == "failed").limit(1).collect()
+    if bad:
+        raise RuntimeError(f"ingest failed: {bad}")
+
+
+def q_ingest_two_files_per_day(spark, sf_dir):
+    """Two files a day, ingested in two runs; then the first day's second file is republished (values doubled)."""
+    ensure_utc(spark)
+    rows = _event_rows(spark, sf_dir).withColumn("second", F.col("event_id") % 2 == 1)
+    first, last = rows.agg(F.min("file_date"), F.max("file_date")).first()
+    src, out = scratch_path(spark, "siblings"), scratch_path(spark, "siblings-out")
+    cols = ["event_id", "ticker", "value"]
+    kw = dict(start_date=first, end_date=last, path_template=SIBLING_TEMPLATE, column_types={"value": "float64"})
+    export_daily_files(spark, rows.filter("not second"), src, cols)
+    _checked(ingest(spark, src, out, [SIBLINGS], **kw))
+    export_daily_files(spark, rows.filter("second"), src, cols, suffix=".b")
+    _checked(ingest(spark, src, out, [SIBLINGS], **kw))
+    again = rows.filter(F.col("second") & (F.col("file_date") == F.lit(first))).withColumn("value", F.col("value") * 2)
+    for key in [r["key"] for r in list_objects(spark, src).filter(F.col("key").contains(f"{first.isoformat()}.b")).collect()]:
+        delete_path(spark, f"{src}/{key}")
+    export_daily_files(spark, again, src, cols, suffix=".b")
+    _checked(ingest(spark, src, out, [SIBLINGS], **kw))
+    return present(spark.read.parquet(out).select(*cols, F.col("file_date").cast("date")))
+
+
+def q_ingest_schema_drift(spark, sf_dir):
+    """Days of whole numbers first, days with fractions in a later run: one table, one type."""
+    ensure_utc(spark)
+    rows = _event_rows(spark, sf_dir)
+    first, last = rows.agg(F.min("file_date"), F.max("file_date")).first()
+    early = F.dayofmonth("file_date") <= 15
+    src, out = scratch_path(spark, "drift"), scratch_path(spark, "drift-out")
+    cols = ["event_id", "ticker", "value"]
+    kw = dict(start_date=first, end_date=last, path_template=SIBLING_TEMPLATE)
+    export_daily_files(spark, rows.filter(early).withColumn("value", F.floor("value")), src, cols)
+    _checked(ingest(spark, src, out, [SIBLINGS], **kw))
+    export_daily_files(spark, rows.filter(~early), src, cols)
+    _checked(ingest(spark, src, out, [SIBLINGS], **kw))
+    return present(spark.read.parquet(out).select(*cols, F.col("file_date").cast("date")))
+
+
+OUTCOMES = "us_lines/monthly_v1"
+
+
+def q_ingest_outcomes(spark, sf_dir):
+    """Status and rows per file: one file a month of ``lineitem``; some are bad, some match nothing, one is empty.
+
+    March files hold a quantity that is no number, July files hold no ticker
+    that the filter keeps, and an empty object follows the last month.
+    """
+    ensure_utc(spark)
+    li = table(spark, sf_dir, "lineitem")
+    month = F.trunc(F.col("l_shipdate").cast("date"), "MM")
+    rows = li.select(
+        F.lit(OUTCOMES).alias("dataset"), month.alias("file_date"),
+        F.when(F.month(month) == 7, F.lit("Z")).otherwise(F.concat(F.lit("L"), (F.col("l_partkey") % 3).cast("string"))).alias("ticker"),
+        F.when((F.month(month) == 3) & (F.col("l_linenumber") == 1), F.lit("n/a-x")).otherwise(F.col("l_quantity").cast("string")).alias("quantity"),
+    )
+    src, out = scratch_path(spark, "outcomes"), scratch_path(spark, "outcomes-out")
+    first, last = rows.agg(F.min("file_date"), F.max("file_date")).first()
+    # one file a month whatever its size: outcomes are per file
+    whole = rows.repartition("file_date")
+    export_daily_files(spark, whole, src, ["ticker", "quantity"], split=False)
+    nothing = date(last.year + 1, 1, 1)
+    touch(spark, f"{src}/{OUTCOMES}/{nothing:%Y/%m}/{nothing.isoformat()}.csv")
+    run = ingest(
+        spark, src, out, [OUTCOMES], start_date=first, end_date=nothing, tickers=["L1"], column_types={"quantity": "float64"},
+    )
+    return run.result.select(F.date_format(K.date_from_key("key"), "yyyy-MM-dd").alias("file_date"), "status", "rows")
+
+
+def q_ingest_status_counts(spark, sf_dir):
+    """Files per outcome of the same run."""
+    return status_counts(q_ingest_outcomes(spark, sf_dir))
+
+
 # --------------------------------------------------------------------------- #
 # Flagship: newest 3 days per event type -> filter -> epoch/ISO -> counts
 # --------------------------------------------------------------------------- #
@@ -851,5 +947,9 @@ QUERIES = {
     "stream_ingest_events": q_stream_ingest_events,
     "ingest_events": q_ingest_events,
     "ingest_lineitem": q_ingest_lineitem,
+    "ingest_two_files_per_day": q_ingest_two_files_per_day,
+    "ingest_schema_drift": q_ingest_schema_drift,
+    "ingest_outcomes": q_ingest_outcomes,
+    "ingest_status_counts": q_ingest_status_counts,
     "flagship": q_flagship,
 }

@@ -137,6 +137,21 @@ cur AS (
 
 _EVENT_SET = ", ".join(f"'{d}'" for d in EVENT_DATASETS)
 
+_OUTCOMES = """
+WITH months AS (
+  SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS m, l_partkey, l_linenumber FROM lineitem),
+files AS (
+  SELECT m, count(*) FILTER (WHERE l_partkey % 3 = 1) AS hits,
+    month(m) = 3 AND count(*) FILTER (WHERE l_linenumber = 1) > 0 AS bad FROM months GROUP BY m),
+outcomes AS (
+  SELECT CAST(m AS VARCHAR) AS file_date,
+    CASE WHEN bad THEN 'failed' WHEN month(m) = 7 OR hits = 0 THEN 'empty' ELSE 'written' END AS status,
+    CASE WHEN bad THEN NULL WHEN month(m) = 7 THEN 0 ELSE hits END AS rows
+  FROM files
+  UNION ALL
+  SELECT CAST(make_date(year(max(m)) + 1, 1, 1) AS VARCHAR), 'empty', 0 FROM files)
+"""
+
 SQL: dict[str, str] = {
     "filter_in_or_prefix": "SELECT * FROM part WHERE p_brand IN ('Brand#2') OR starts_with(p_brand, 'Brand#1')",
     "filter_in": "SELECT * FROM part WHERE p_brand IN ('Brand#2', 'Brand#25')",
@@ -316,6 +331,18 @@ FROM events WHERE starts_with('U' || CAST(user_id AS VARCHAR), 'U1')""",
 SELECT 'U' || CAST(user_id AS VARCHAR) AS ticker, event_type, value, ts AS sip_timestamp,
   epoch_us(ts) * 1000 + event_id % 1000 AS sip_timestamp_ns, CAST(CAST(ts AS DATE) AS VARCHAR) AS file_date
 FROM events WHERE starts_with('U' || CAST(user_id AS VARCHAR), 'U1')""",
+    "ingest_two_files_per_day": """
+SELECT event_id, 'U' || CAST(user_id AS VARCHAR) AS ticker,
+  CASE WHEN event_id % 2 = 1 AND CAST(ts AS DATE) = (SELECT min(CAST(ts AS DATE)) FROM events) THEN value * 2 ELSE value END AS value,
+  CAST(CAST(ts AS DATE) AS VARCHAR) AS file_date
+FROM events""",
+    "ingest_schema_drift": """
+SELECT event_id, 'U' || CAST(user_id AS VARCHAR) AS ticker,
+  CASE WHEN day(CAST(ts AS DATE)) <= 15 THEN floor(value) ELSE value END AS value,
+  CAST(CAST(ts AS DATE) AS VARCHAR) AS file_date
+FROM events""",
+    "ingest_outcomes": _OUTCOMES + "SELECT file_date, status, rows FROM outcomes",
+    "ingest_status_counts": _OUTCOMES + "SELECT status, count(*) AS files FROM outcomes GROUP BY status",
     "ingest_lineitem": """
 SELECT 'L' || CAST(l_partkey AS VARCHAR) AS ticker, l_extendedprice AS price, l_quantity AS size,
   make_timestamp(epoch_us(l_shipdate) + (l_orderkey * 10 + l_linenumber) // 1000) AS sip_timestamp,

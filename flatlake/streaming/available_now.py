@@ -8,6 +8,8 @@ plan (ETag + manifest) remains the way to catch republished files.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,6 +59,10 @@ def stream_csv_available_now(
     q.awaitTermination()
 
 
+#: Bytes of a file's head that its header line must fit in.
+HEADER_BYTES = 1 << 20
+
+
 def stream_ingest(
     spark: SparkSession,
     source_root: str,
@@ -81,24 +87,29 @@ def stream_ingest(
 
     *schema* is the typed schema of the files' header (e.g. from
     :func:`flatlake.sources.schema.infer_file_schemas`).  Each micro-batch is
-    processed like a batch run: rows are typed and validated, files with a
-    bad row are reported failed and not published, matching rows are written
-    with dynamic partition overwrite (so a retried batch rewrites the same
-    partitions), and one manifest entry per file is appended.  A micro-batch
-    reads its files twice (a per-file summary, then the publish); the batch
-    :func:`flatlake.ingest.ingest` stages instead and reads them once.  A file
-    that cannot be decompressed stops the run (the batch ingest isolates it).
+    processed like a batch run: rows are typed and validated on all their
+    fields, files with a bad row or another header are reported failed and not
+    published, matching rows are written with dynamic partition overwrite, and
+    one manifest entry per file is appended.  Every file owns its partition
+    (``src``), so a retried batch rewrites the same files and micro-batches of
+    any size add up to the same table.  Objects without a date in their name
+    are not data.  A micro-batch reads its files twice (a per-file summary,
+    then the publish); the batch :func:`flatlake.ingest.ingest` stages instead
+    and reads them once.  A file that cannot be decompressed stops the run (the
+    batch ingest isolates it).
     Returns the per-file results of this run.
     """
     from ..functions.epoch import convert_epochs, resolve_timestamp_columns
     from ..functions.keys import date_from_key
-    from ..ingest import RESULT_SCHEMA, _partition_exprs
+    from ..ingest import RESULT_SCHEMA, SOURCE_COL, _partition_exprs, source_id
     from ..operators.filters import ticker_predicate
     from ..plans import manifest as M
     from ..session import ensure_utc, qualify
     from ..sinks.formats import get_format
     from ..sources.catalog import resolve_dataset
+    from ..plans.table_schema import fit_table
     from ..sources.csv_scan import BAD_COL, PATH_COL, ROW_BAD, apply_schema, string_schema
+    from ..sources.schema import CSV_OPTIONS, parse_header, sample_heads
 
     ensure_utc(spark)
     prefix = resolve_dataset(dataset)
@@ -109,15 +120,14 @@ def stream_ingest(
     reader = (
         spark.readStream.schema(string_schema(schema.names))
         .option("header", True)
-        .option("mode", "PERMISSIVE")
+        .options(**CSV_OPTIONS)
         .option("columnNameOfCorruptRecord", BAD_COL)
-        .option("escape", '"')
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(f"{qroot}/{prefix}/[0-9][0-9][0-9][0-9]/[0-9][0-9]/*").withColumn(
         PATH_COL, F.col("_metadata.file_path")
-    )
+    ).filter(date_from_key(F.col("_metadata.file_path")).isNotNull())
     keep = list(columns) if columns else None
     if keep and (tickers or ticker_prefixes) and filter_column not in keep:
         keep.append(filter_column)
@@ -130,19 +140,38 @@ def stream_ingest(
         pred = ticker_predicate(filter_column, tickers, ticker_prefixes, typed.schema[filter_column].dataType)
     parts = _partition_exprs(partition_by, F.lit(prefix), date_from_key(F.col(PATH_COL)))
     keep_col = F.lit(True) if pred is None else F.coalesce(pred, F.lit(False))
+    parts[SOURCE_COL] = source_id(F.col(PATH_COL))
+    columns_out = [*partition_by, SOURCE_COL]
     staged = typed.select("*", *[v.alias(c) for c, v in parts.items()], keep_col.alias("_keep"))
     results: list[tuple] = []
 
+    def other_headers(paths: list[str]) -> dict[str, str]:
+        """Files of this batch whose header is not the schema's, by the first bytes of each."""
+        files = spark.createDataFrame([(p, unquote(p)) for p in paths], "key string, path string")
+        heads = sample_heads(files, HEADER_BYTES).filter("line_no <= 0").select("key", "line", "error").collect()
+        wrong = {}
+        for r in heads:
+            try:
+                names = parse_header(r.line) if r.line is not None else schema.names
+            except ValueError as exc:
+                wrong[r.key] = f"ValueError: {exc}"
+                continue
+            if names != schema.names:
+                wrong[r.key] = f"ValueError: header {names} is not {schema.names}"
+        return wrong
+
     def process(batch: DataFrame, epoch_id: int) -> None:
         # Pass 1: one summary row per new file (rows, bad rows, matching rows).
         summary = batch.groupBy(PATH_COL).agg(
             F.count(F.lit(1)).alias("n"),
             F.sum(F.col(ROW_BAD).cast("int")).alias("bad"),
             F.sum((F.col("_keep") & ~F.col(ROW_BAD)).cast("int")).alias("kept"),
+            F.first(F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in columns_out])).alias("location"),
         ).collect()
         if not summary:
             return
-        bad = {r[PATH_COL]: r["bad"] for r in summary if r["bad"]}
+        bad = {r[PATH_COL]: f"ValueError: {r['bad']} row(s) do not fit the schema" for r in summary if r["bad"]}
+        bad.update(other_headers([r[PATH_COL] for r in summary]))
         # Pass 2: matching rows of the files without bad rows.
         good = batch.filter(F.col("_keep") & ~F.col(ROW_BAD)).drop(ROW_BAD, "_keep")
         if bad:
@@ -152,21 +181,21 @@ def stream_ingest(
             proj = []
             for c in columns:
                 proj += [c] + ([c + "_ns"] if c + "_ns" in good.columns else [])
-            good = good.select(*proj, *partition_by)
+            good = good.select(*proj, *columns_out)
         else:
             good = good.drop(PATH_COL)
         if any(r["kept"] for r in summary if r[PATH_COL] not in bad):
-            fmt.write(good, output_root, codec, partition_by)
+            fmt.write(fit_table(spark, output_root, prefix, good, fmt, codec, columns_out), output_root, codec, columns_out)
         entries = []
         for r in summary:
             p = r[PATH_COL]
             key = p[len(qroot) + 1:] if p.startswith(qroot + "/") else p
             if p in bad:
-                results.append((key, None, "failed", None, f"ValueError: {bad[p]} row(s) do not fit the schema", "stream"))
+                results.append((key, None, "failed", None, bad[p], "stream"))
                 continue
             n = int(r["kept"] or 0)
             results.append((key, key, "written" if n else "empty", n, None, "stream"))
-            entries.append((key, key, None, None, n, f"stream|{fmt.name}|{codec}", fmt.name, bool(n), None))
+            entries.append((key, key, None, None, n, f"stream|{fmt.name}|{codec}", fmt.name, bool(n), r["location"]))
         if entries:
             M.append_entries(spark, output_root, spark.createDataFrame(
                 entries,

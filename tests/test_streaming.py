@@ -48,3 +48,27 @@ def test_stream_ingest_catch_up(spark, tmp_path):
     assert df.count() == 12
     assert "sip_timestamp_ns" in df.columns
     assert stream_ingest(spark, src, out, "options/quotes", schema).count() == 0
+
+
+def _day(day, rows, part=""):
+    body = "ticker,px\n" + "".join(f"{t},{p}\n" for t, p in rows)
+    return {f"us_options_opra/quotes_v1/2025/03/2025-03-{day:02d}{part}.csv.gz": gzip.compress(body.encode())}
+
+
+def test_stream_batches_of_any_size_add_up(spark, tmp_path):
+    from conftest import write_objects
+    from flatlake.streaming.available_now import stream_ingest
+
+    src, out = str(tmp_path / "bucket"), str(tmp_path / "out")
+    schema = T.StructType([T.StructField("ticker", T.StringType()), T.StructField("px", T.DoubleType())])
+    write_objects(src, {**_day(17, [("A", 1)]), **_day(17, [("B", 2)], ".p00001"), "us_options_opra/quotes_v1/2025/03/notes.txt": b"ticker,px\nZ,9\n"})
+    first = stream_ingest(spark, src, out, "options/quotes", schema, max_files_per_trigger=1).collect()
+    assert sorted(r.status for r in first) == ["written", "written"]
+    write_objects(src, {
+        **_day(17, [("C", 3)], ".p00002"),
+        "us_options_opra/quotes_v1/2025/03/2025-03-18.csv.gz": gzip.compress(b"px,ticker\n1,A\n"),
+        "us_options_opra/quotes_v1/2025/03/2025-03-19.csv.gz": gzip.compress(b"ticker,px\nA,1,x,y\n"),
+    })
+    second = {r.key.rsplit("/", 1)[-1]: r.status for r in stream_ingest(spark, src, out, "options/quotes", schema, columns=["ticker"]).collect()}
+    assert second == {"2025-03-17.p00002.csv.gz": "written", "2025-03-18.csv.gz": "failed", "2025-03-19.csv.gz": "failed"}
+    assert sorted(r.ticker for r in spark.read.parquet(out + "/asset_class=us_options_opra").collect()) == ["A", "B", "C"]
