@@ -27,7 +27,7 @@ from .textstats import BEGINS, Stats, _flags, distinct_per_row, per_row, repeate
 STEP = 1 << 20
 #: Training rows at most: trusted positives, unlabelled documents, documents for the prior.
 POSITIVES, UNLABELLED, LABELLED = 12_000, 24_000, 24_000
-BINS, ROUNDS, RATE, DECAY = 12, 500, 0.05, 1e-4
+BINS, ROUNDS, RATE, DECAY = 12, 1500, 0.1, 1e-4
 #: Share of trusted positives that the zero point may leave below it.
 LOST = 0.002
 
@@ -165,7 +165,7 @@ def fitted(x: DataFrame, labels: DataFrame, learn: str) -> Model | None:
 
     def some(df: DataFrame, bound: int) -> np.ndarray:
         got = df.select("doc_id", "x", F.xxhash64("doc_id", F.lit(5)).alias("h")).orderBy("h", "doc_id").limit(bound).select("x").toPandas()["x"]
-        return np.array(got.tolist(), np.float32).reshape(len(got), -1)
+        return np.array(got.tolist(), np.float32).reshape(len(got), -1 if len(got) else 0)
 
     positive = some(rows.join(truth.filter("quality = 1"), "doc_id"), POSITIVES)
     unlabelled = some(rows, UNLABELLED)
