@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -380,7 +380,9 @@ def q_latest_one(spark, sf_dir):
 def q_latest_n(spark, sf_dir):
     cat = events_catalog(spark, sf_dir)
     sel = C.select_latest(cat, EVENT_DATASETS, 3, TODAY_EVENTS)
-    return present(sel.select("key", "dataset", "file_date"))
+    # the place of each file in the selection's own order (a handful of rows)
+    place = F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))
+    return present(sel.coalesce(1).withColumn("place", place).select("key", "dataset", "file_date", "place"))
 
 
 def q_list_datasets(spark, sf_dir):
@@ -513,7 +515,7 @@ def q_empty_partitions(spark, sf_dir):
 def _events_for_sink(spark, sf_dir) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     us = F.unix_micros(F.col("ts").cast("timestamp"))
-    df = ev.select("event_id", "event_type", "value", (us * 1000 + F.col("event_id") % 1000).alias("ts"))
+    df = ev.select("event_id", "event_type", "value", (us * 1000 + F.col("event_id") % 1000).alias("ts"), "props")
     return convert_epochs(df, ["ts"], "ns", keep_ns=True)
 
 
@@ -525,11 +527,11 @@ def _sink_roundtrip(spark, sf_dir, fmt: str, compression="default") -> DataFrame
     if fmt in ("parquet", "feather"):
         return back.select(
             F.col("event_id").cast("bigint"), F.col("event_type").cast("string"), F.col("value").cast("double"),
-            F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("ts_ns").cast("bigint"),
+            F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("ts_ns").cast("bigint"), "props",
         )
     return back.select(
         F.col("event_id").cast("bigint"), F.col("event_type").cast("string"), F.col("value").cast("double"),
-        F.col("ts").alias("ts_text"),
+        F.col("ts").alias("ts_text"), "props",
     )
 
 
@@ -641,20 +643,30 @@ def q_failed_files(spark, sf_dir):
 
 
 def q_sink_raw(spark, sf_dir):
+    """Byte-identical copies of exported files: equal digests, and the copies' rows read back."""
     path = _orders_csv_export(spark, sf_dir)
     files = _export_files(spark, path)
     dest = scratch_path(spark, "raw-copy")
     jobs = files.select("key", "path", F.concat(F.lit(dest + "/"), F.col("key")).alias("dest"))
     copied = copy_files(jobs, partitions=spark.sparkContext.defaultParallelism)
-    src_md5 = md5_files(files)
-    return copied.join(src_md5.withColumnRenamed("md5", "src_md5"), "key").select(
-        K.basename("key").alias("name"), (F.col("md5") == F.col("src_md5")).alias("same_md5"), "bytes"
-    )
+    digests = copied.select("key", "md5").join(md5_files(files).withColumnRenamed("md5", "source"), "key", "left")
+    if digests.filter(~F.col("md5").eqNullSafe(F.col("source"))).limit(1).count():
+        raise RuntimeError("a copy differs from its source")
+    groups, _, _ = infer_file_schemas(spark, _export_files(spark, dest))
+    (g,) = groups.values()
+    return scan_csv(spark, [r.path for r in _export_files(spark, dest).collect()], g["schema"]).drop(ROW_BAD, "_path")
 
 
 def q_listing(spark, sf_dir):
-    path = _orders_csv_export(spark, sf_dir, "csv")
-    return list_objects(spark, path).select("key", "size", "etag").filter(F.col("key").endswith(".csv"))
+    """Objects per folder as listed, and the rows of exactly the listed objects."""
+    path = scratch_path(spark, "listing")
+    get_format("csv").write(table(spark, sf_dir, "orders"), path, "default", ["o_orderstatus"])
+    objects = list_objects(spark, path).filter(F.col("key").endswith(".csv"))
+    folder = lambda key: F.regexp_extract(key, "o_orderstatus=([^/]+)/", 1)
+    seen = objects.groupBy(folder("key").alias("folder")).agg((F.min("size") > 0).alias("filled"), F.countDistinct("etag").alias("etags"))
+    listed = spark.read.option("header", True).csv([r["path"] for r in objects.select("path").collect()])
+    rows = listed.groupBy(folder(F.col("_metadata.file_path")).alias("folder")).agg(F.count(F.lit(1)).alias("rows"))
+    return seen.join(rows, "folder", "left").select("folder", "rows", "filled", (F.col("etags") > 0).alias("has_etag"))
 
 
 def q_stream_available_now(spark, sf_dir):

@@ -269,7 +269,7 @@ WHERE dataset = 'us_stocks_sip/trades_v1'
   AND dir_year * 12 + dir_month - 1 BETWEEN {_month_idx(2001, 12) - 23} AND {_month_idx(2001, 12)}
 ORDER BY file_date DESC, key LIMIT 1""",
     "latest_n": _with(EVENTS_LISTING, CATALOG) + f"""
-SELECT key, dataset, CAST(file_date AS VARCHAR) AS file_date FROM (
+SELECT key, dataset, CAST(file_date AS VARCHAR) AS file_date, row_number() OVER (ORDER BY file_date, key) AS place FROM (
   SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY file_date DESC, key) AS rn FROM catalog
   WHERE dataset IN ({_EVENT_SET})
     AND dir_year * 12 + dir_month - 1 BETWEEN {_month_idx(2024, 2) - 23} AND {_month_idx(2024, 2)}
@@ -310,6 +310,8 @@ SELECT event_id, event_type,
   strftime(ts, '%Y-%m-%d') AS day
 FROM events""",
     "scan_csv": "SELECT * FROM orders",
+    "sink_raw": "SELECT * FROM orders",
+    "listing": "SELECT o_orderstatus AS folder, count(*) AS rows, true AS filled, true AS has_etag FROM orders GROUP BY o_orderstatus",
     "infer_schema": """
 SELECT * FROM (VALUES (0, 'o_orderkey', 'bigint'), (1, 'o_custkey', 'bigint'), (2, 'o_orderstatus', 'string'),
   (3, 'o_totalprice', 'double'), (4, 'o_orderdate', 'timestamp_ntz'), (5, 'o_orderpriority', 'string'))
@@ -364,8 +366,8 @@ WHERE key IN (SELECT key FROM latest)
 GROUP BY key, event_type""",
 }
 
-_SINK_BINARY = "SELECT event_id, event_type, value, ts, epoch_us(ts) * 1000 + event_id % 1000 AS ts_ns FROM events"
-_SINK_TEXT = f"SELECT event_id, event_type, value, {ISO_NS} AS ts_text FROM events"
+_SINK_BINARY = "SELECT event_id, event_type, value, ts, epoch_us(ts) * 1000 + event_id % 1000 AS ts_ns, props FROM events"
+_SINK_TEXT = f"SELECT event_id, event_type, value, {ISO_NS} AS ts_text, props FROM events"
 SQL.update({
     "sink_parquet": _SINK_BINARY,
     "sink_feather": _SINK_BINARY,
