@@ -2,9 +2,11 @@
 
 Write: each task streams its Arrow batches into one IPC file per partition
 value under a staging folder and reports the files; the driver commit moves
-them into ``col=value/`` folders, replacing only the partitions written in
-this job (dynamic overwrite), and the abort path removes the staged files.
-Read: one input partition per file; partition columns come from the path.
+them into ``col=value/`` folders and then removes the files they replace (only
+in partitions written by this job: dynamic overwrite); the abort path removes
+the staged files.  Read: one input partition per file; partition columns come
+from the path, types from all files together.  All file access goes through
+``pyarrow.fs``, so the table may lie on any store that it reaches.
 
 Register once per session: ``spark.dataSource.register(ArrowIpcDataSource)``,
 then ``df.write.format("arrow_ipc")`` / ``spark.read.format("arrow_ipc")``.
@@ -12,7 +14,7 @@ then ``df.write.format("arrow_ipc")`` / ``spark.read.format("arrow_ipc")``.
 
 from __future__ import annotations
 
-import os
+import posixpath
 import re
 import uuid
 from dataclasses import dataclass, field
@@ -32,17 +34,24 @@ CODECS = {"zstd": "zstd", "lz4": "lz4", None: None, "none": None, "": None, "unc
 _SAFE = "-_.+ "
 
 
-def _local(path: str) -> str:
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def filesystem(path: str):
+    """``(pyarrow file system, path inside it)`` of a local path or a URI."""
+    import pyarrow.fs as pafs
+
+    if "://" not in path and not path.startswith("file:"):
+        return pafs.LocalFileSystem(), path.rstrip("/")
     if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return path
+        return pafs.LocalFileSystem(), "/" + path[len("file:"):].strip("/")
+    fs, inner = pafs.FileSystem.from_uri("s3://" + path[len("s3a://"):] if path.startswith("s3a://") else path)
+    return fs, inner.rstrip("/")
 
 
 def _escape(value) -> str:
     if value is None:
-        return "__HIVE_DEFAULT_PARTITION__"
+        return NULL_PARTITION
     return quote(str(value), safe=_SAFE)
 
 
@@ -53,7 +62,8 @@ class _Staged(WriterCommitMessage):
 
 class ArrowIpcWriter(DataSourceArrowWriter):
     def __init__(self, options: dict, schema: StructType, overwrite: bool):
-        self.path = _local(options["path"]).rstrip("/")
+        self.uri = options["path"]
+        self.path = filesystem(self.uri)[1]
         self.partition_by = [c for c in options.get("partition_by", "").split(",") if c]
         codec = options.get("compression", "zstd")
         if codec not in CODECS:
@@ -66,6 +76,7 @@ class ArrowIpcWriter(DataSourceArrowWriter):
         from pyspark import TaskContext
 
         ctx = TaskContext.get()
+        fs, _ = filesystem(self.uri)
         tag = f"{ctx.partitionId() if ctx else 0}-{ctx.attemptNumber() if ctx else 0}"
         stage = f"{self.path}/_staging-{self.job}"
         writers: dict = {}
@@ -95,8 +106,8 @@ class ArrowIpcWriter(DataSourceArrowWriter):
                         sub = "/".join(f"{c}={_escape(v)}" for c, v in zip(self.partition_by, values))
                         final_dir = f"{self.path}/{sub}" if sub else self.path
                         staged = f"{stage}/{sub}/part-{tag}-{uuid.uuid4().hex[:8]}.feather"
-                        os.makedirs(os.path.dirname(staged), exist_ok=True)
-                        sink = pa.OSFile(staged, "wb")
+                        fs.create_dir(posixpath.dirname(staged), recursive=True)
+                        sink = fs.open_output_stream(staged, compression=None)
                         writers[values] = (sink, pa.ipc.new_file(sink, data.schema, options=opts))
                         files.append((staged, final_dir))
                     table = data if isinstance(data, pa.Table) else pa.Table.from_batches([data])
@@ -108,18 +119,19 @@ class ArrowIpcWriter(DataSourceArrowWriter):
         return _Staged(files=files)
 
     def commit(self, messages):
+        import pyarrow.fs as pafs
+
+        fs, _ = filesystem(self.uri)
         staged = [f for m in messages if m is not None for f in m.files]
-        targets = sorted({d for _, d in staged})
-        if self.overwrite:
-            for d in targets:
-                if os.path.isdir(d):
-                    for name in os.listdir(d):
-                        p = os.path.join(d, name)
-                        if os.path.isfile(p) and not name.startswith(("_", ".")):
-                            os.remove(p)
-        for src, d in staged:
-            os.makedirs(d, exist_ok=True)
-            os.replace(src, os.path.join(d, os.path.basename(src)))
+        old = []
+        for folder in sorted({d for _, d in staged}) if self.overwrite else []:
+            found = fs.get_file_info(pafs.FileSelector(folder, allow_not_found=True))
+            old += [x.path for x in found if x.type == pafs.FileType.File and not x.base_name.startswith(("_", "."))]
+        for src, folder in staged:
+            fs.create_dir(folder, recursive=True)
+            fs.move(src, f"{folder}/{posixpath.basename(src)}")
+        for path in old:  # only now: a crash before leaves both generations, none lost
+            fs.delete_file(path)
         self._drop_stage()
 
     def abort(self, messages):
@@ -127,9 +139,12 @@ class ArrowIpcWriter(DataSourceArrowWriter):
 
     def _drop_stage(self):
         # The job's own staging folder (also holds files of failed attempts).
-        import shutil
+        import pyarrow.fs as pafs
 
-        shutil.rmtree(f"{self.path}/_staging-{self.job}", ignore_errors=True)
+        fs, _ = filesystem(self.uri)
+        stage = f"{self.path}/_staging-{self.job}"
+        if fs.get_file_info(stage).type == pafs.FileType.Directory:
+            fs.delete_dir(stage)
 
 
 class _FilePartition(InputPartition):
@@ -142,44 +157,47 @@ class _FilePartition(InputPartition):
 _PART_RE = re.compile(r"^([^=/]+)=([^/]*)$")
 
 
-def _list_files(root: str) -> list[tuple[str, dict]]:
+def _list_files(uri: str) -> list[tuple[str, dict]]:
+    """``(path, partition values)`` of every data file, in order of path."""
+    import pyarrow.fs as pafs
+
+    fs, root = filesystem(uri)
     out = []
-    for dirpath, dirnames, filenames in os.walk(root):
-        dirnames[:] = sorted(d for d in dirnames if not d.startswith(("_", ".")))
-        rel = os.path.relpath(dirpath, root)
-        values = {}
-        if rel != ".":
-            for seg in rel.split(os.sep):
-                m = _PART_RE.match(seg)
-                if m:
-                    values[m.group(1)] = unquote(m.group(2))
-        for f in sorted(filenames):
-            if f.endswith(".feather") and not f.startswith(("_", ".")):
-                out.append((os.path.join(dirpath, f), values))
+    for info in sorted(fs.get_file_info(pafs.FileSelector(root, recursive=True, allow_not_found=True)), key=lambda x: x.path):
+        segments = info.path[len(root) :].strip("/").split("/")
+        if not info.path.endswith(".feather") or any(x.startswith(("_", ".")) for x in segments):
+            continue
+        pairs = [m.groups() for m in map(_PART_RE.match, segments[:-1]) if m]
+        out.append((info.path, {k: None if v == NULL_PARTITION else unquote(v) for k, v in pairs}))
     return out
 
 
 class ArrowIpcReader(DataSourceReader):
     def __init__(self, options: dict, schema: StructType):
-        self.root = _local(options["path"]).rstrip("/")
+        self.uri = options["path"]
         self.schema_ = schema
 
     def partitions(self):
-        return [_FilePartition(p, v) for p, v in _list_files(self.root)]
+        return [_FilePartition(p, v) for p, v in _list_files(self.uri)]
 
     def read(self, partition):
-        names = self.schema_.fieldNames()
-        with pa.memory_map(partition.path) as src:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        fs, _ = filesystem(self.uri)
+        wanted = to_arrow_schema(self.schema_)
+        with fs.open_input_file(partition.path) as src:
             reader = pa.ipc.open_file(src)
             for i in range(reader.num_record_batches):
                 batch = reader.get_batch(i)
                 cols = []
-                for n in names:
-                    if n in batch.schema.names:
-                        cols.append(batch.column(n))
+                for f in wanted:
+                    if f.name in batch.schema.names:
+                        col = batch.column(f.name)
+                        cols.append(col if pa.types.is_timestamp(f.type) or col.type == f.type else col.cast(f.type))
                     else:
-                        cols.append(pa.array([partition.values.get(n)] * batch.num_rows, pa.string()))
-                yield pa.RecordBatch.from_arrays(cols, names=names)
+                        value = partition.values.get(f.name)
+                        cols.append(pa.array([value] * batch.num_rows, pa.string()) if f.name in partition.values else pa.nulls(batch.num_rows, f.type))
+                yield pa.RecordBatch.from_arrays(cols, names=wanted.names)
 
 
 class ArrowIpcDataSource(DataSource):
@@ -190,14 +208,17 @@ class ArrowIpcDataSource(DataSource):
     def schema(self):
         from pyspark.sql.pandas.types import from_arrow_schema
 
-        root = _local(self.options["path"]).rstrip("/")
-        files = _list_files(root)
+        uri = self.options["path"]
+        fs, _ = filesystem(uri)
+        files = _list_files(uri)
         if not files:
-            raise FileNotFoundError(f"no .feather files under {root}")
-        path, values = files[0]
-        with pa.memory_map(path) as src:
-            arrow_schema = pa.ipc.open_file(src).schema
-        for k in values:
+            raise FileNotFoundError(f"no .feather files under {uri}")
+        schemas = []
+        for path, _ in files:
+            with fs.open_input_file(path) as src:
+                schemas.append(pa.ipc.open_file(src).schema.remove_metadata())
+        arrow_schema = pa.unify_schemas(list(dict.fromkeys(schemas)), promote_options="permissive")
+        for k in files[0][1]:
             arrow_schema = arrow_schema.append(pa.field(k, pa.string()))
         return from_arrow_schema(arrow_schema)
 

@@ -91,3 +91,26 @@ def test_register_custom_spark_format(spark, tmp_path):
         assert "orc" in format_names()
     finally:
         FORMATS.pop("orc", None)
+
+
+def test_feather_null_partition_overwrite_and_new_column(spark, tmp_path):
+    out = str(tmp_path / "f")
+    fmt = get_format("feather")
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "a b/c")], "x bigint, p string")
+    fmt.write(df, out, "default", ["p"])
+    assert sorted((r.x, r.p) for r in read_output(spark, "feather", out).collect()) == [(1, "a"), (2, None), (3, "a b/c")]
+    again = spark.createDataFrame([(20, None, "n")], "x bigint, p string, y string")
+    fmt.write(again, out, "default", ["p"])
+    assert sorted((r.x, r.p, r.y) for r in read_output(spark, "feather", out).collect()) == [(1, "a", None), (3, "a b/c", None), (20, None, "n")]
+
+
+def test_json_of_binary_and_infinities(spark, tmp_path):
+    out = str(tmp_path / "j")
+    df = spark.createDataFrame([(1, bytearray(b"ok"), 1.5), (2, bytearray(b"a\xff"), float("inf")), (3, None, float("nan"))], "x bigint, b binary, v double")
+    get_format("jsonl").write(df, out)
+    rows = {r.x: (r.b, r.v) for r in spark.read.schema("x bigint, b string, v double").json(out).collect()}
+    assert rows == {1: ("ok", 1.5), 2: ("a\ufffd", None), 3: (None, None)}
+    import pytest
+
+    with pytest.raises(ValueError):
+        get_format("csv").write(df, out, "zstd")
