@@ -35,32 +35,29 @@ def only(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """Distributed union-find: ``(id, component)`` for every end of a link (a, b); component = smallest id reachable.
 
-    Alternating star contraction.  Each round lowers every edge to the smallest
+    Alternating star contraction, until every edge points from a node that is
+    no centre to its only centre.  Each round lowers every edge to the smallest
     neighbour by an aggregate (combined before the shuffle) and a join, so a
     node with very many links costs no single task more than the others.
     """
 
-    def lowered(edges: DataFrame, keep) -> DataFrame:
+    def lowered(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
         least = edges.groupBy("u").agg(F.min("v").alias("m"))
-        near = edges.join(least, "u")
-        return keep(near, least)
+        return edges.join(least, "u"), least
 
-    def state(edges: DataFrame):
-        return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+    def is_stars(edges: DataFrame) -> bool:
+        ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("id"), F.lit(1).alias("out")), F.struct(F.col("v").alias("id"), F.lit(0).alias("out")))).alias("e")).select("e.*")
+        odd = ends.groupBy("id").agg(F.sum("out").alias("n_out"), F.min("out").alias("least")).filter("n_out > 1 or (n_out = 1 and least = 0)")
+        return odd.isEmpty()
 
     edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct(), "edges")
-    before = state(edges)
-    while before[0]:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = lowered(both, lambda near, _: near.filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")))
-        large = large.filter("u > v").distinct()
-        small = lowered(large, lambda near, least: near.filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))))
+    while not is_stars(edges):
+        near, _ = lowered(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))))
+        large = near.filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).filter("u > v")
+        near, least = lowered(large)
+        small = near.filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         edges = written(small.distinct(), "edges")
-        now = state(edges)
-        if now == before:
-            break
-        before = now
-    return edges.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("component")).unionByName(
+    return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     )
 
@@ -109,6 +106,8 @@ def linked_components(members: DataFrame, verify: Callable[[DataFrame], DataFram
 
 def joined(known: DataFrame, links: DataFrame) -> DataFrame:
     """*known* components after further links: only the components that a link touches are contracted again."""
+    if links.isEmpty():
+        return known
     name = lambda df, end: df.join(known.select(F.col("id").alias(end), F.col("component").alias(f"c{end}")), end, "left").withColumn(f"c{end}", F.coalesce(f"c{end}", end))
     over = components(name(name(links, "a"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
     ends = links.select(F.explode(F.array("a", "b")).alias("id")).distinct().withColumn("component", F.col("id"))

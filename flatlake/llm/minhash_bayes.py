@@ -194,9 +194,9 @@ class Linker:
 
     1. Every member of a bucket meets the bucket's smallest id.  What is in one
        component then is settled.
-    2. Families are the components of those comparisons, linked or not.  A
-       family of at most FEW members that is not settled compares its other
-       pairs across components.
+    2. A family is what met the same smallest id, linked with it or not (so any
+       two members of a bucket are in one).  A family of at most FEW members
+       that is not settled compares its pairs across components.
     3. A larger one gets a centre: the shingles that most of a bounded sample
        of its members hold (any set would do, a near one is fast).  Two members
        whose weights add up to no more than zero are linked and so is each of
@@ -217,9 +217,9 @@ class Linker:
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Links among ``pairs(a, b)``."""
         both = pairs.join(self.signatures.withColumnRenamed("id", "b"), "b").withColumnRenamed("signature", "y").join(self.signatures.withColumnRenamed("id", "a"), "a")
-        likely = written(both.select("a", "b", F.col("signature").alias("x"), "y").mapInArrow(_plausible(self.percent / 100), "a bigint, b bigint").distinct(), "likely")
+        likely = written(both.select("a", "b", F.col("signature").alias("x"), "y").mapInArrow(_plausible(self.percent / 100), "a bigint, b bigint"), "likely")
         sides = likely.join(self.texts.withColumnRenamed("id", "b"), "b").withColumnRenamed("text", "y").join(self.texts.withColumnRenamed("id", "a"), "a")
-        return written(sides.select("a", "b", F.col("text").alias("x"), "y").mapInArrow(_exact(self.k, self.percent), "a bigint, b bigint").distinct(), "links")
+        return written(sides.select("a", "b", F.col("text").alias("x"), "y").mapInArrow(_exact(self.k, self.percent), "a bigint, b bigint"), "links")
 
     def linked(self, members: DataFrame) -> DataFrame:
         """``(id, component)`` of every id with a link, from buckets ``members(key, id)``."""
@@ -229,9 +229,9 @@ class Linker:
         self.signatures = written(only(self.signed.filter("n > 0").select("id", "signature"), involved, "id"), "signatures")
         self.texts = written(only(self.narrow.filter(F.octet_length("text") > 0), involved, "id"), "texts")
         known = written(components(self.verified(met)), "components")
-        families = written(components(met).withColumnRenamed("component", "fam"), "families")
+        families = met.select(F.col("a").alias("fam"), F.col("b").alias("id"))
         labelled = self._labelled(families, known)
-        mixed = labelled.groupBy("fam").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y and size > 2").select("fam", "size")
+        mixed = labelled.groupBy("fam").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("fam", "size")
         open_members = written(labelled.join(mixed, "fam"), "open")
         few = open_members.filter(F.col("size") <= FEW)
         other = few.select("fam", F.col("id").alias("p"), F.col("label").alias("other"))
@@ -303,9 +303,9 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str
     """
     narrow = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
     signed = written(narrow.mapInArrow(_signed(k), SIGNED), "signatures")
-    folded = signed.filter("n > 0").groupBy("set_a", "set_b", "n").agg(F.min("id").alias("rep"))
-    leaders = signed.filter("n > 0").join(folded, ["set_a", "set_b", "n"]).filter("id = rep")
-    members = leaders.select(F.explode("bands").alias("key"), "id").distinct()
+    # equal sets have equal bands, so any copy's will do for the smallest id
+    folded = written(signed.filter("n > 0").groupBy("set_a", "set_b", "n").agg(F.min("id").alias("rep"), F.any_value("bands").alias("bands")), "folded")
+    members = folded.select(F.explode("bands").alias("key"), F.col("rep").alias("id"))
     linked = Linker(narrow, signed, k, percent).linked(members)
     grouped = folded.join(linked, F.col("rep") == F.col("id"), "left").select("set_a", "set_b", "n", F.coalesce("component", "rep").alias("component"))
     placed = signed.select("id", "n", "set_a", "set_b").join(grouped, ["set_a", "set_b", "n"], "left")
