@@ -244,9 +244,11 @@ class Linker:
         known = joined(known, self.verified(pairs.unionByName(hubs).distinct().join(met, ["a", "b"], "left_anti")))
         labelled = self._labelled(entries, known)
         mixed = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("key")
-        rest = written(labelled.join(mixed, "key").select("key", "fam", "id", "q", "need", "label"), "entries")
-        right = rest.select("key", F.col("id").alias("p"), F.col("q").alias("pq"), F.col("need").alias("pneed"), F.col("label").alias("other"))
-        shared = rest.join(right, "key").filter("id < p and label != other").groupBy("fam", "id", "p", "q", "pq", "need", "pneed").agg(F.count(F.lit(1)).alias("n"))
+        rest = written(labelled.join(mixed, "key").select("key", "fam", "id", "q", "need", "common", "label"), "entries")
+        right = rest.select("key", F.col("id").alias("p"), F.col("q").alias("pq"), F.col("need").alias("pneed"), F.col("common").alias("pcommon"), F.col("label").alias("other"))
+        # two members cannot share more differences than either has in common with anyone
+        able = f"id < p and label != other and {2 * (100 + self.percent)} * least(common, pcommon) >= q + pq"
+        shared = rest.join(right, "key").filter(able).groupBy("fam", "id", "p", "q", "pq", "need", "pneed").agg(F.count(F.lit(1)).alias("n"))
         # a shared difference is not counted if one of the two did not keep it, which left out need - 1 of its own
         enough = shared.filter(f"{2 * (100 + self.percent)} * (n + need + pneed - 2) >= q + pq")
         last = enough.select(F.col("id").alias("a"), F.col("p").alias("b")).distinct()
@@ -257,7 +259,7 @@ class Linker:
         return rows.join(known, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
 
     def _index(self, large: DataFrame) -> DataFrame:
-        """``(key, fam, id, q, need)``: members of large families under the differences they must share to be linked."""
+        """``(key, fam, id, q, need, common)``: members of large families under the differences they must share to be linked."""
         turn = Window.partitionBy("fam").orderBy(F.xxhash64("id"), "id")
         sample = large.withColumn("turn", F.row_number().over(turn)).filter(F.col("turn") <= CENTRE_SAMPLE).select("fam", "id")
         sample = written(sample, "centre-sample")
@@ -273,7 +275,7 @@ class Linker:
         held = self.apart.select("fam", F.explode("differs").alias("e")).groupBy("fam", "e").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
         own = Window.partitionBy("fam", "id")
         kept = each.join(held, ["fam", "e"]).withColumn("n", F.count(F.lit(1)).over(own)).filter("n >= need").withColumn("turn", F.row_number().over(own.orderBy("c", "e"))).filter("turn <= n - need + 1")
-        return written(kept.select(F.xxhash64("fam", "e").alias("key"), "fam", "id", "q", "need"), "index")
+        return written(kept.select(F.xxhash64("fam", "e").alias("key"), "fam", "id", "q", "need", F.col("n").alias("common")), "index")
 
     def _hubs(self, entries: DataFrame) -> DataFrame:
         hub = self.apart.groupBy("fam").agg(F.min(F.struct("q", "id")).alias("hub")).select("fam", F.col("hub.id").alias("p"))
