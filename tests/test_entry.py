@@ -10,5 +10,6 @@ def test_entry_smoke(spark):
 def test_every_oracle_has_a_query():
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
-    missing = sorted(set(qs) - set(sql))
-    assert missing == ["listing", "sink_raw"]
+    # the training-data operators without a SQL form are held against brute force in their own tests
+    missing = sorted(q for q in set(qs) - set(sql) if q != "pipeline" and not q.startswith("op"))
+    assert missing == []
