@@ -154,6 +154,26 @@ def test_lines_of_empty_table_and_odd_rows(spark):
     assert got == want
 
 
+def linked_pairs(spark, pairs):
+    """For each pair of lines, whether both are of one class; every pair is checked against brute force as well."""
+    rows = [(2 * i + j, line) for i, pair in enumerate(pairs) for j, line in enumerate(pair)]
+    want = brute_lines(rows)
+    got = {(r["id"], r["line_no"]): (r["class_id"], r["class_line"]) for r in line_classes(make_docs(spark, rows)).collect()}
+    assert got == want
+    return [got[2 * i, 0] == got[2 * i + 1, 0] for i in range(len(pairs))]
+
+
+def test_long_lines_without_white_space(spark):
+    rnd = random.Random(11)
+    scripts = ["".join(chr(c) for c in range(0x4E00, 0x5200)), "".join(chr(c) for c in range(0x0E01, 0x0E2F)), "ABCDEFGHabcdefgh0123456789+/"]
+    pairs = []
+    for letters in scripts:
+        for n in (170, 359, 1200):
+            line = "".join(rnd.choice(letters) for _ in range(n))
+            pairs += [(line, "#" + line[1:]), (line[::-1], line[::-1][:7] + "##" + line[::-1][9:])]
+    assert linked_pairs(spark, pairs) == [True] * len(pairs)
+
+
 def test_line_plan_has_no_python(spark):
     df = make_docs(spark, [(1, "a line of text"), (2, "a line of text")])
     plan = dedup_lines(df)._jdf.queryExecution().toString()
