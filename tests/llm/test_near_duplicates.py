@@ -174,6 +174,13 @@ def test_long_lines_without_white_space(spark):
     assert linked_pairs(spark, pairs) == [True] * len(pairs)
 
 
+def test_repeated_content_of_different_length(spark):
+    sentence = "The quick brown fox jumps over the lazy dog while seven wizards brew a potion for the old king today."
+    pairs = [("-" * 100, "-" * 170), ("=*" * 30, "=*" * 400), (sentence, f"{sentence} {sentence}"), ("多言語の区切り線 " * 8, "多言語の区切り線 " * 60)]
+    assert len(sentence) < 110 < 160 < 2 * len(sentence)
+    assert linked_pairs(spark, pairs) == [True] * len(pairs)
+
+
 def test_line_plan_has_no_python(spark):
     df = make_docs(spark, [(1, "a line of text"), (2, "a line of text")])
     plan = dedup_lines(df)._jdf.queryExecution().toString()
