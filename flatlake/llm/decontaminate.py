@@ -1,12 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment over words.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment over words.
 
 1. The benchmark's n-grams fill a bitmap of fixed size, the only thing sent to
    every task (its size does not depend on the data).
-2. A pass over the corpus counts each benchmark n-gram (summed per task first).
-3. Every stretch of ``SEGMENT`` n-grams of an item keeps its rarest one as seed,
-   so each part of an item has a seed whatever the corpus size.
-4. A second pass reports where seeds occur; a join gives item and diagonal.
-5. Documents with a hit are joined with their candidates and aligned.
+2. A pass over the corpus reports where they occur; a join gives item and
+   diagonal.  Every n-gram of an item is a seed: a choice among them by corpus
+   counts could leave the ones that an edited copy still holds without a hit.
+3. Documents with a hit are joined with their candidates and aligned, if the
+   item's words that occur there at all could reach the score.
 """
 
 from __future__ import annotations
@@ -16,14 +16,14 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .linking import written
 from .textkit import Prefix, U, buffer_of, mix, pieces, word_hashes, words
 
-#: Words of an n-gram, n-grams per seed, and bits of the bitmap (two probes).
-GRAM, SEGMENT, BITS = 3, 2, 24
+#: Words of an n-gram, and bits of the bitmap (two probes).
+GRAM, BITS = 3, 24
 STEP = 1 << 20
 LAST_ID = (1 << 63) - 1
 
@@ -78,8 +78,8 @@ def _probed(packed: np.ndarray, grams: np.ndarray) -> np.ndarray:
     return hit[look(y[hit]).astype(bool)]
 
 
-def found_grams(docs: DataFrame, packed: np.ndarray, positions: bool) -> DataFrame:
-    """Corpus n-grams that pass the bitmap: ``(gram, n)`` summed per batch, or ``(gram, id, pos)``."""
+def found_grams(docs: DataFrame, packed: np.ndarray) -> DataFrame:
+    """Corpus n-grams that pass the bitmap: ``(gram, id, pos)``."""
 
     def run(batches):
         for batch in batches:
@@ -92,13 +92,9 @@ def found_grams(docs: DataFrame, packed: np.ndarray, positions: bool) -> DataFra
                 hit = _probed(packed, grams)
                 parts.append((grams[hit], ids[lo + row[hit]], pos[hit]))
             grams, who, pos = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, U), ids[:0], ids[:0])
-            if positions:
-                yield pa.RecordBatch.from_pydict({"gram": grams.view(np.int64), "id": who, "pos": pos.astype(np.int64)})
-            else:
-                g, n = np.unique(grams, return_counts=True)
-                yield pa.RecordBatch.from_pydict({"gram": g.view(np.int64), "n": n.astype(np.int64)})
+            yield pa.RecordBatch.from_pydict({"gram": grams.view(np.int64), "id": who, "pos": pos.astype(np.int64)})
 
-    return docs.mapInArrow(run, "gram bigint, id bigint, pos bigint" if positions else "gram bigint, n bigint")
+    return docs.mapInArrow(run, "gram bigint, id bigint, pos bigint")
 
 
 def item_grams(items: DataFrame) -> DataFrame:
@@ -157,6 +153,9 @@ def _aligned(least: float):
                     item = items[c["item"]]
                     pad = max(4, len(item) // 2)
                     lo, hi = max(0, c["diagonal"] - pad), min(len(hashes), c["diagonal"] + len(item) + 2 * pad)
+                    # the score is at most 2 per item word that occurs in the window
+                    if np.isin(item, hashes[lo:hi]).sum() / max(1, len(item)) < least:
+                        continue
                     score, start, stop = smith_waterman(hashes[lo:hi], item)
                     share = score / max(1, 2 * len(item))
                     if share >= least and share > best.get(c["item"], (0,))[0]:
@@ -183,11 +182,8 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = 0.55, id_col:
     bench = items.select(F.coalesce(F.col(item_col).cast("bigint"), F.lit(LAST_ID)).alias("item"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("item_text"))
     bench = bench.groupBy("item").agg(F.max("item_text").alias("item_text"))
     grams = written(item_grams(bench), "item-grams")
-    counts = found_grams(narrow, bitmap_of(grams), False).groupBy("gram").agg(F.sum("n").alias("n"))
-    rarest = Window.partitionBy("item", F.floor(F.col("pos") / SEGMENT)).orderBy(F.coalesce("n", F.lit(0)), "pos")
-    seeds = grams.join(counts, "gram", "left").withColumn("turn", F.row_number().over(rarest)).filter("turn = 1").select("gram", "item", F.col("pos").alias("at"), "n_words")
-    seeds = written(seeds, "seeds")
-    hits = found_grams(narrow, bitmap_of(seeds), True)
+    hits = found_grams(narrow, bitmap_of(grams))
+    seeds = grams.withColumnRenamed("pos", "at")
     # hits of one copy lie near one diagonal; a step of a quarter item keeps one candidate for them
     step = F.greatest(F.lit(4), F.floor(F.col("n_words") / 4))
     near = (F.floor((F.col("pos") - F.col("at")) / step) * step).cast("bigint")

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from flatlake.llm import decontaminate as d
 
@@ -66,6 +67,41 @@ def test_every_item_part_has_a_seed_and_hot_items_are_found(spark):
     assert {(i, 0) for i, _ in hot} <= found
 
 
+def edited_copies(intact, seed=7):
+    """Copies of items with every fourth word replaced at each phase, and with 4 of 15 words; an intact copy beside them or not."""
+    rnd = random.Random(seed)
+    text = lambda p, n: [f"{p}{rnd.randrange(5000)}" for _ in range(n)]
+    items = [(i, text("w", 40 if i < 6 else 15)) for i in range(12)]
+    docs = []
+    for i, words in items:
+        for phase in range(4):
+            at = set(range(phase, 40, 4)) if i < 6 else set(rnd.sample(range(15), 4))
+            copy = [f"e{len(docs)}x{k}" if k in at else w for k, w in enumerate(words)]
+            docs.append((len(docs), " ".join(text("v", 30) + copy + text("v", 30))))
+        if intact:
+            docs.append((len(docs), " ".join(text("v", 5) + words)))
+    return docs, [(i, " ".join(w)) for i, w in items]
+
+
+def brute_found(docs, items, least=0.55):
+    out = {}
+    for i, t in docs:
+        for item, words in items:
+            score = plain_alignment(t.split(), words.split()) / (2 * len(words.split()))
+            if score >= least:
+                out[i, item] = score
+    return out
+
+
+@pytest.mark.parametrize("intact", [False, True])
+def test_edited_copies_against_plain_alignment(spark, intact):
+    docs, items = edited_copies(intact)
+    want = brute_found(docs, items)
+    assert len(want) >= 30
+    found = d.contaminated(make_docs(spark, docs), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert {(r["id"], r["item"]): r["score"] for r in found} == pytest.approx(want)
+
+
 def test_empty_sides(spark):
     docs, items, _ = corpus(6)
     bench = spark.createDataFrame(items, "item_id bigint, text string")
