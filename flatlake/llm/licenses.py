@@ -1,7 +1,8 @@
 """Licence recognition by sentences: known sentences to identifiers, identifier sequences to ordered rules.
 
 A text is cut into sentences, each normalised (lower case, everything but a-z
-and 0-9 a blank), and looked up among the known sentences.  The identifiers
+and 0-9 a blank), and looked up among the known sentences; a known sentence may
+also run over several lines, with comment leaders or not.  The identifiers
 found, in text order, form a sequence; rules are tried in order and each takes
 the places where its identifiers stand in a row, so a full licence text is not
 reported again as its parts.
@@ -113,6 +114,35 @@ def known_sentences(sentences: dict[str, list[str]]) -> dict[str, str]:
     return out
 
 
+def _marked(text: Column) -> Column:
+    """Normalised text with a mark for every break: S for a single line end, H for a sentence end or blank line.
+
+    Lower case leaves the capitals free for marks.
+    """
+    steps = [
+        (r"(^|[\r\n])[ \t\f]*[.!?:;]+[ \t\f]+", "$1"),  # comment leaders that look like sentence ends
+        (r"[.!?:;]+[ \t\r\f]+|[.!?:;]+(?=[\r\n])", "H"),
+        (r"\r\n|[\r\n]", "S"),
+        (r"[^a-z0-9HS]+", " "),
+        (r" ?S ?", "S"),
+        (r"[ HS]*H[ HS]*|S{2,}", "H"),
+    ]
+    text = F.lower(text)
+    for pattern, mark in steps:
+        text = F.regexp_replace(text, pattern, mark)
+    return F.trim(text)
+
+
+def _found(marked: Column, known: dict[str, str]) -> Column:
+    """Identifiers of the known sentences between two breaks, in text order; single line ends inside count as blanks."""
+    if not known:
+        return F.array().cast("array<string>")
+    pattern = "|".join(k.replace(" ", "[ S]") for k in sorted(known, key=len, reverse=True))
+    lookup = F.create_map(*(F.lit(x) for pair in known.items() for x in pair))
+    places = F.regexp_extract_all(marked, F.lit(f"(?<![^HS])(?:{pattern})(?![^HS])"), F.lit(0))
+    return F.transform(places, lambda s: F.element_at(lookup, F.translate(s, "S", " ")))
+
+
 def _literal(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -126,22 +156,18 @@ def licence_scan(
     are a fixed table inside the plan (parameters, not data).
 
     Defined cases: a null or empty text has no sentences; sentences without a
-    letter a-z or digit are not counted; every occurrence of a known sentence
+    letter a-z or digit are not counted; a line end ends a sentence for
+    ``n_sentences``, but a known sentence is also found over single line ends if it
+    begins and ends with a line or sentence; every occurrence of a known sentence
     counts in ``sentence_ids``, a licence is listed once; rows are judged one by one,
     repeated or not; null ids pass through; an empty table gives an empty
     result; other columns are ignored.
     """
     known = known_sentences(SENTENCES if sentences is None else sentences)
     rules = RULES if rules is None else rules
-    lookup = F.create_map(*(F.lit(x) for pair in known.items() for x in pair))
-    longest = max(map(len, known), default=0)
-    text = F.col(text_col).cast("string")
-    parts = docs.select(F.col(id_col).cast("bigint").alias(id_col), F.split(F.lower(F.coalesce(text, F.lit(""))), BREAK, -1).alias("parts"))
-    clean = parts.select(id_col, F.filter(F.transform("parts", lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " "))), lambda s: s != "").alias("clean"))
-    # only sentences as long as a known one are looked up
-    found = clean.select(
-        id_col, F.size("clean").cast("bigint").alias("n_sentences"),
-        F.transform(F.filter("clean", lambda s: (F.length(s) <= longest) & F.map_contains_key(lookup, s)), lambda s: F.element_at(lookup, s)).alias("sentence_ids"),
+    marked = docs.select(F.col(id_col).cast("bigint").alias(id_col), _marked(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("marked"))
+    found = marked.select(
+        id_col, F.size(F.filter(F.split("marked", "[HS]", -1), lambda s: s != "")).cast("bigint").alias("n_sentences"), _found(F.col("marked"), known).alias("sentence_ids"),
     )
     return found.select(id_col, "n_sentences", "sentence_ids", F.when(F.size("sentence_ids") > 0, _matched(rules)).otherwise(F.array().cast("array<string>")).alias("licences"))
 

@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 import duckdb
 import pandas as pd
@@ -51,6 +52,29 @@ def test_against_sql(spark, tmp_path):
     assert sorted(map(tuple, op4_licence_sentences(spark, str(tmp_path)).collect())) == want
 
 
+def wrapped_rules():
+    """The text of every rule, wrapped at several widths behind several comment leaders."""
+    out = []
+    for name, row in RULES:
+        parts = [SENTENCES[i][0] for i in row]
+        for width, leader, gap in [(76, "", "\n"), (72, "# ", "\n#\n"), (60, " * ", "\r\n *\r\n"), (40, "// ", "\n"), (70, ";; ", "\n;;\n")]:
+            end = "\r\n" if "\r" in gap else "\n"
+            text = gap.join(end.join(textwrap.wrap(p, width, initial_indent=leader, subsequent_indent=leader)) for p in parts)
+            out.append((row, f"Some Heading{end}{text}{end}some code here"))
+    return out
+
+
+def test_wrapped_texts(spark):
+    cases = wrapped_rules()
+    got = {r["doc_id"]: r for r in licence_scan(make_docs(spark, [(i, t) for i, (_, t) in enumerate(cases)])).collect()}
+    for i, (row, text) in enumerate(cases):
+        assert got[i]["sentence_ids"] == row, text
+        assert got[i]["n_sentences"] == brute(text)[0]
+    one = {i: s[0] for i, s in SENTENCES.items()}
+    apart = [one["isc-grant"].replace("purpose with", "purpose\n\nwith"), "x " + one["isc-grant"], one["isc-grant"].replace(" with", ". with")]
+    assert [r["sentence_ids"] for r in licence_scan(make_docs(spark, list(enumerate(apart)))).collect()] == [[]] * 3
+
+
 def test_odd_rows_and_plan(spark):
     df = make_docs(spark, [(None, "MIT License"), (1, "MIT License"), (1, "MIT License")])
     assert [r["licences"] for r in licence_scan(df).collect()] == [["MIT"]] * 3
