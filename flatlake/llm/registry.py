@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import automaton_dedup, chat_windows, decontaminate, licenses, line_dedup, minhash_bayes, mixing, pu_classifier, quality_rules, suffix_dedup
+from . import alignment, automaton_dedup, bpe_stream, chat_windows, decontaminate, importance, licenses, line_dedup, minhash_bayes, mixing, pu_classifier, quality_rules, suffix_dedup
 
 QUERIES = {
     "op1_suffix_array_dedup": suffix_dedup.op1_suffix_array_dedup,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_minhash_bayes": minhash_bayes.op8_minhash_bayes,
     "op9_certified_rules": quality_rules.op9_certified_rules,
     "op10_pu_quality": pu_classifier.op10_pu_quality,
+    "op11_importance_resampling": importance.op11_importance_resampling,
+    "op12_tokenizer_alignment": alignment.op12_tokenizer_alignment,
+    "op13_bpe_stream": bpe_stream.op13_bpe_stream,
 }
 
-SQL: dict[str, str] = {**licenses.SQL}
+SQL: dict[str, str] = {**licenses.SQL, **importance.SQL}
