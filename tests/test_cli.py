@@ -15,13 +15,13 @@ def test_cli_commands(spark, bucket, tmp_path, capsys):
     assert cli.main(["list-datasets", "-s", bucket]) == 0
     out = capsys.readouterr().out
     assert "us_options_opra/quotes_v1\t(options/quotes)" in out
-    assert cli.main(["list-dates", "-s", bucket, "-d", "options/quotes", "--year", "2025", "--month", "3"]) == 0
+    assert cli.main(["list-dates", "-s", bucket, "-d", "options/quotes", "--year", "2024", "--month", "11"]) == 0
     assert capsys.readouterr().out.count(".csv.gz") == 2
     dest = str(tmp_path / "out")
-    code = cli.main(["pull", "-s", bucket, "-o", dest, "-d", "options/quotes", "--start-date", "2025-03-17",
-                     "--end-date", "2025-03-18", "--ticker-prefix", "O:AAPL", "--columns", "ticker,sip_timestamp"])
+    code = cli.main(["pull", "-s", bucket, "-o", dest, "-d", "options/quotes", "--start-date", "2024-11-05",
+                     "--end-date", "2024-11-29", "--ticker-prefix", "O:ZED", "--columns", "ticker,sip_timestamp"])
     assert code == 0
     assert "written: 2" in capsys.readouterr().out
-    assert cli.main(["pull", "-s", bucket, "-o", dest, "-d", "options/quotes", "--start-date", "2025-03-17",
-                     "--end-date", "2025-03-18", "--ticker-prefix", "O:AAPL", "--columns", "ticker,sip_timestamp"]) == 0
+    assert cli.main(["pull", "-s", bucket, "-o", dest, "-d", "options/quotes", "--start-date", "2024-11-05",
+                     "--end-date", "2024-11-29", "--ticker-prefix", "O:ZED", "--columns", "ticker,sip_timestamp"]) == 0
     assert "skipped: 2" in capsys.readouterr().out

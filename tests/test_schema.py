@@ -1,9 +1,10 @@
 import gzip
 
+import pandas as pd
 import pytest
 from pyspark.sql import types as T
 
-from conftest import NS, csv_bytes, quotes_csv
+from flat_files import OPENED, packed, quote_day
 from flatlake.sources.csv_scan import ROW_BAD, scan_csv
 from flatlake.sources.schema import (
     compression_for_name, infer_file_schemas, parse_column_types, parse_type,
@@ -27,7 +28,7 @@ def _one_schema(spark, tmp_path, data, name="f.csv.gz", **kw):
 
 
 def test_quotes_inference(spark, tmp_path):
-    g = _one_schema(spark, tmp_path, quotes_csv(["AAPL", "MSFT"], 2))
+    g = _one_schema(spark, tmp_path, packed(quote_day()))
     assert [(f.name, f.dataType) for f in g["schema"].fields] == [
         ("ticker", T.StringType()), ("ask_price", T.DoubleType()),
         ("bid_price", T.DoubleType()), ("sip_timestamp", T.LongType()),
@@ -35,8 +36,9 @@ def test_quotes_inference(spark, tmp_path):
 
 
 def test_sparse_unknown_column_is_string_and_scan_keeps_value(spark, tmp_path):
-    rows = [[f"T{i}", i, None] for i in range(3000)] + [[f"T{i}", i, 1] for i in range(3000)]
-    data = csv_bytes(["ticker", "val", "corr_x"], rows, compress=False)
+    # the first 3,000 rows leave the third column empty
+    frame = pd.DataFrame({"ticker": [f"S{i % 77}" for i in range(6000)], "val": range(6000), "corr_x": [""] * 3000 + ["1"] * 3000})
+    data = packed(frame, zipped=False)
     g = _one_schema(spark, tmp_path, data, "f.csv", peek_bytes=2048)
     assert g["schema"]["corr_x"].dataType == T.StringType()
     df = scan_csv(spark, ["file:" + str(tmp_path / "f.csv")], g["schema"])
@@ -46,16 +48,15 @@ def test_sparse_unknown_column_is_string_and_scan_keeps_value(spark, tmp_path):
 
 
 def test_sparse_known_column_uses_hint(spark, tmp_path):
-    rows = [["AAPL", None]] * 10 + [["AAPL", "true"]]
-    g = _one_schema(spark, tmp_path, csv_bytes(["ticker", "otc"], rows, compress=False), "f.csv", peek_bytes=32)
+    frame = pd.DataFrame({"ticker": "ORB", "otc": [""] * 12 + ["true"]})
+    g = _one_schema(spark, tmp_path, packed(frame, zipped=False), "f.csv", peek_bytes=32)
     assert g["schema"]["otc"].dataType == T.BooleanType()
     df = scan_csv(spark, ["file:" + str(tmp_path / "f.csv")], g["schema"])
     assert [r.otc for r in df.collect()][-1] is True
 
 
 def test_override_wins_and_bad_values_flagged(spark, tmp_path):
-    rows = [["AAPL", 1]] * 4 + [["AAPL", "x"]]
-    data = csv_bytes(["ticker", "val"], rows, compress=False)
+    data = packed(pd.DataFrame({"ticker": "ORB", "val": [8, 8, 8, 8, "eight"]}), zipped=False)
     g = _one_schema(spark, tmp_path, data, "f.csv", column_types={"val": T.FloatType()}, peek_bytes=20)
     assert g["schema"]["val"].dataType == T.FloatType()
     df = scan_csv(spark, ["file:" + str(tmp_path / "f.csv")], g["schema"])
@@ -63,8 +64,8 @@ def test_override_wins_and_bad_values_flagged(spark, tmp_path):
 
 
 def test_peek_boundary_mid_line_loses_nothing(spark, tmp_path):
-    rows = [[f"TICKER{i:05d}", i * 1.5, NS + i] for i in range(5000)]
-    data = csv_bytes(["ticker", "px", "sip_timestamp"], rows)
+    n = pd.RangeIndex(5000)
+    data = packed(pd.DataFrame({"ticker": [f"SYMBOL-{i}" for i in n], "px": n * 0.25, "sip_timestamp": OPENED + n}))
     for peek in (100, 1000, 4097, 1 << 20):
         g = _one_schema(spark, tmp_path, data, f"p{peek}.csv.gz", peek_bytes=peek)
         df = scan_csv(spark, ["file:" + str(tmp_path / f"p{peek}.csv.gz")], g["schema"])
@@ -81,7 +82,7 @@ def test_empty_and_header_only(spark, tmp_path):
 
 
 def test_unreadable_file_fails_alone(spark, tmp_path):
-    files = _files(spark, tmp_path, {"bad.csv.gz": b"definitely not gzip", "ok.csv.gz": quotes_csv(["A"])})
+    files = _files(spark, tmp_path, {"bad.csv.gz": b"definitely not gzip", "ok.csv.gz": packed(quote_day({"A": 1}))})
     groups, empty, failed = infer_file_schemas(spark, files)
     assert list(failed) == ["bad.csv.gz"]
     assert len(groups) == 1
