@@ -22,6 +22,7 @@ the documents.
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ SENT_PAIRS = 1 << 18
 #: Pairs held in a task before they are folded, and pairs formed at a time.
 FOLD = 1 << 21
 #: Bytes of text handled at a time; segments kept with their ids, of at most KEEP_CHARS characters.
-SLICE, KEEP, KEEP_CHARS = 1 << 22, 1 << 17, 64
+SLICE, KEEP, KEEP_CHARS = 1 << 21, 1 << 17, 64
 
 _SEGMENT = re.compile(" +[^ ]*")
 _BYTE = re.compile("<0x([0-9A-F]{2})>")
@@ -64,22 +65,20 @@ class Pieces:
         self.blank = self.model.piece_to_id(MARK)
         self.kept: dict[str, list[int]] = {}
 
-    def segment(self, text: str) -> list[int]:
-        """Ids of a segment, which starts with a blank (the one the model adds)."""
-        ids = self.kept.get(text)
-        if ids is None:
-            ids = self.model.encode(text[1:], num_threads=1) if len(text) > 1 else [self.blank]
-            if len(text) <= KEEP_CHARS:
-                if len(self.kept) >= KEEP:
-                    self.kept.clear()
-                self.kept[text] = ids
-        return ids
-
-    def encode(self, spaced: str) -> list[int]:
-        out: list[int] = []
-        for s in _SEGMENT.findall(spaced) if self.split and MARK not in spaced else [spaced]:
-            out += self.segment(s)
-        return out
+    def encode_all(self, spaced: list[str]) -> list[list[int]]:
+        """Ids of texts that start with a blank (the one the model adds); new segments of all of them go to the model together."""
+        cut = [_SEGMENT.findall(t) if self.split and MARK not in t else [t] for t in spaced]
+        pieces = set(chain.from_iterable(cut))
+        new = pieces.difference(self.kept)
+        if len(self.kept) + len(new) > KEEP:
+            self.kept.clear()
+            new = pieces
+        new = sorted(new)
+        ids = self.model.encode([s[1:] for s in new], num_threads=1)
+        table = dict(zip(new, ([self.blank] if s == " " else x for s, x in zip(new, ids))))
+        self.kept.update((s, x) for s, x in table.items() if len(s) <= KEEP_CHARS and len(new) <= KEEP)
+        table.update((s, self.kept[s]) for s in pieces.difference(table))
+        return [list(chain.from_iterable(map(table.__getitem__, c))) for c in cut]
 
 
 class Aligner:
@@ -94,15 +93,13 @@ class Aligner:
         self.same = identity_map(merges.bytes, self.b.bytes, self.b.is_byte)
         self.text = [f"{i}{end}" for i in range(self.size_a) for end in (",", "|")] + [f"{i}{end}" for i in range(self.size_b) for end in (",", ";", "")]
 
-    def tokens(self, text: str | None) -> tuple[list[int], list[int]]:
-        """Ids of both; none if either's bytes are not those of space + text."""
-        if not text:
-            return [], []
-        spaced = " " + text
-        ids = self.b.encode(spaced)
-        if b"".join(map(self.b.bytes.__getitem__, ids)) != spaced.encode():
-            return [], []
-        return self.a.encode(spaced), ids
+    def tokens(self, texts: list) -> list[tuple[list[int], list[int]]]:
+        """Ids of both for every text; none if B's bytes are not those of space + text (A's always are)."""
+        spaced = [" " + t if t else "" for t in texts]
+        b = self.b.encode_all(spaced)
+        same = [b"".join(map(self.b.bytes.__getitem__, ids)) == t.encode() for t, ids in zip(spaced, b)]
+        a = self.a.encode_all([t if ok else "" for t, ok in zip(spaced, same)])
+        return [(x, y if ok else []) for x, y, ok in zip(a, b, same)]
 
 
 def identity_map(a: list[bytes], b: list[bytes], is_byte: list[bool]) -> np.ndarray:
@@ -175,7 +172,7 @@ ALIGNED = (
 def aligned_rows(t: Aligner, ids: pa.Array, texts: list) -> pa.RecordBatch:
     """One row per text, as ALIGNED."""
     n = len(texts)
-    tokens = [t.tokens(x) for x in texts]
+    tokens = t.tokens(texts)
     sizes_a, sizes_b = (np.array([len(x[k]) for x in tokens], np.int64) for k in (0, 1))
     a, b = (np.concatenate([np.zeros(0, np.int64), *(np.asarray(x[k], np.int64) for x in tokens)]) for k in (0, 1))
     row_a, row_b = np.repeat(np.arange(n), sizes_a), np.repeat(np.arange(n), sizes_b)

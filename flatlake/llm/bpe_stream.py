@@ -51,6 +51,10 @@ RUNS = {"letter": r"\p{L}*", "number": r"\p{N}*", "space": r"\s*", "other": r"[^
 OPEN = 4096
 #: Characters of one step of a text, and ids of one step of decoding.
 STEP = 1 << 16
+#: Bytes of the texts that are encoded together.
+SLICE = 1 << 22
+#: Words merged together at a time.
+TOGETHER = 1 << 14
 #: Pre-tokens kept with their ids (of at most KEEP_CHARS characters); the table starts anew when it is full.
 KEEP, KEEP_CHARS = 1 << 17, 64
 
@@ -88,6 +92,8 @@ class Merges:
             x, y = pair if not isinstance(pair, str) else pair.split(" ")
             self.rank[vocab[x] * size + vocab[y]] = r
             self.made.append(vocab[x + y])
+        keys = np.array(sorted(self.rank), np.int64)
+        self.arrays = keys, np.array([self.rank[k] for k in keys.tolist()], np.int64), np.array(self.made, np.int64), np.array(self.of_byte, np.int64)
         self.lookahead = self._lookahead()
         self.longest = max(map(len, self.bytes))
         self.window = self.lookahead + max(512, 2 * self.longest)
@@ -141,6 +147,58 @@ class Merges:
                 heapq.heappush(heap, (rank[k], h, k))
         return [t for t in ids if t >= 0]
 
+    def together(self, words: list[bytes]) -> list[list[int]]:
+        """``merged`` of many short words, one merge of every word at a time over arrays."""
+        lengths = np.array([len(w) for w in words], np.int64)
+        out: list[list[int]] = [[]] * len(words)
+        order = np.argsort(lengths, kind="stable")
+        begin = int(np.searchsorted(lengths[order], 1))
+        while begin < len(order):
+            # words of similar length share a matrix
+            width = max(4, int(lengths[order[begin]]) * 3 // 2)
+            end = min(begin + TOGETHER, int(np.searchsorted(lengths[order], width, side="right")))
+            for i, ids in zip(order[begin:end].tolist(), self._matrix([words[i] for i in order[begin:end]], width)):
+                out[i] = ids
+            begin = end
+        return out
+
+    def _matrix(self, words: list[bytes], width: int) -> list[list[int]]:
+        keys, ranks_of, made, first = self.arrays
+        none = len(made)
+        n = np.array([len(w) for w in words])
+        raw = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), np.uint8).reshape(len(words), width)
+        place = np.arange(width)
+        ids = np.where(place < n[:, None], first[raw], -1)
+
+        def rank(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+            key = x * self.size + y
+            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            return np.where((keys[at] == key) & (x >= 0) & (y >= 0), ranks_of[at], none)
+
+        ranks = np.concatenate([rank(ids[:, :-1], ids[:, 1:]), np.full((len(words), 1), none)], axis=1)
+        done: list = [None] * len(words)
+        row = np.arange(len(words))
+        while len(row):
+            at = ranks.argmin(axis=1)
+            here = np.arange(len(row))
+            least = ranks[here, at]
+            open_ = least < none
+            for i, k, line in zip(row[~open_].tolist(), n[~open_].tolist(), ids[~open_].tolist()):
+                done[i] = line[:k]
+            row, n, ids, ranks, at, least = row[open_], n[open_] - 1, ids[open_], ranks[open_], at[open_], least[open_]
+            here = np.arange(len(row))
+            # the merged id takes the left place, everything behind moves up by one
+            move = np.minimum(place + (place > at[:, None]), width - 1)
+            ids, gone = np.take_along_axis(ids, move, axis=1), np.minimum(place + (place >= at[:, None]), width - 1)
+            ids[here, at] = made[least]
+            ids[here, n] = -1
+            ranks = np.take_along_axis(ranks, gone, axis=1)
+            after = np.minimum(at + 1, width - 1)
+            ranks[here, at] = np.where(at + 1 < n, rank(ids[here, at], ids[here, after]), none)
+            left = np.flatnonzero(at > 0)
+            ranks[left, at[left] - 1] = rank(ids[left, at[left] - 1], ids[left, at[left]])
+        return done
+
     def stable(self, tail: bytearray, out: list[int]) -> None:
         """Move the settled tokens at the start of *tail* to *out* until less than a window is left."""
         while len(tail) >= self.window:
@@ -175,6 +233,15 @@ class Kept(dict):
             self[piece] = ids
         return ids
 
+    def meet(self, pieces) -> None:
+        """Take in what is new among *pieces*, all at once."""
+        pieces = set(pieces)
+        new = [p for p in pieces.difference(self) if len(p) <= KEEP_CHARS]
+        if len(self) + len(new) > KEEP:
+            self.clear()
+            new = [p for p in pieces if len(p) <= KEEP_CHARS][:KEEP]
+        self.update(zip(new, self.merges.together([p.encode("utf-8", "surrogatepass") for p in new])))
+
 
 class Encoder:
     """One text in pieces: ``feed`` returns the ids that are settled, ``finish`` the rest."""
@@ -209,6 +276,14 @@ class Encoder:
             out += self.feed(text[i : i + STEP])
         return out + self.finish()
 
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """Ids of many texts; new pre-tokens of all of them are merged together."""
+        plain = [len(t) <= STEP and not (self.special and self.special.search(t)) for t in texts]
+        cut = [self.pattern.findall(t) if p else None for t, p in zip(texts, plain)]
+        self.kept.meet(chain.from_iterable(c for c in cut if c))
+        ids_of = self.kept.__getitem__
+        return [self.encode(t) if c is None else list(chain.from_iterable(map(ids_of, c))) for t, c in zip(texts, cut)]
+
     def _step(self, text: str, last: bool) -> list[int]:
         buffer, out = self.held + text, []
         while self.special and (found := self.special.search(buffer)):
@@ -289,7 +364,7 @@ def tokenizer_text(path: str | None = None) -> str:
         return fh.read()
 
 
-def rows_of(batch: pa.RecordBatch, column: int, limit: int = 1 << 25):
+def rows_of(batch: pa.RecordBatch, column: int, limit: int = 1 << 24):
     """Slices of *batch* whose values of *column* hold about *limit* bytes at most; a longer row is a slice of its own."""
     n = batch.num_rows
     whole = batch.column(column).nbytes
@@ -314,8 +389,8 @@ def encoded(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", te
         merges, kept = loaded(spec.value)
         encoder = Encoder(merges, kept, specials)
         for batch in batches:
-            for part in rows_of(batch, 1):
-                lists = [np.asarray(encoder.encode(t) if t else (), np.int32) for t in part.column(1).to_pylist()]
+            for part in rows_of(batch, 1, SLICE):
+                lists = [np.asarray(ids, np.int32) for ids in encoder.encode_all([t or "" for t in part.column(1).to_pylist()])]
                 offsets = np.zeros(len(lists) + 1, np.int32)
                 np.cumsum([len(x) for x in lists], out=offsets[1:])
                 flat = np.concatenate(lists) if lists else np.zeros(0, np.int32)
@@ -337,12 +412,13 @@ def decoded(tokens: DataFrame, path: str | None = None, id_col: str = "doc_id",
         merges, _ = loaded(spec.value)
         for batch in batches:
             for part in rows_of(batch, 1):
-                texts = []
-                for ids in part.column(1):
-                    values = [] if ids.values is None else ids.values.to_pylist()
-                    if values and (None in values or min(values) < 0 or max(values) >= merges.size):
-                        raise ValueError("a token id is not in the vocabulary")
-                    texts.append(Decoder(merges).decode(values))
+                lists = part.column(1)
+                flat = lists.flatten()
+                ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+                values = flat.to_numpy(zero_copy_only=False)
+                if flat.null_count or len(values) and (values.min() < 0 or values.max() >= merges.size):
+                    raise ValueError("a token id is not in the vocabulary")
+                texts = [Decoder(merges).decode(ids.tolist()) for ids in np.split(values, ends[:-1])] if len(ends) else []
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
 
     narrow = tokens.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids"))

@@ -101,6 +101,19 @@ def test_window_by_window_is_whole():
         assert MERGES.whole(data) == MERGES.merged(data)
 
 
+def test_words_together(monkeypatch):
+    rnd = random.Random(10)
+    words = [b"".join(rnd.choice([b"e", b"t", b"th", b"in", b" ", b"\0", "é".encode(), bytes([rnd.randrange(256)])]) for _ in range(rnd.randint(0, 40))) for _ in range(3000)]
+    assert MERGES.together(words) == [MERGES.merged(w) for w in words]
+    assert MERGES.together([]) == []
+    monkeypatch.setattr(B, "KEEP", 40)
+    encoder = B.Encoder(MERGES, B.Kept(MERGES))
+    texts = ["".join(rnd.choice(BITS) for _ in range(rnd.randint(0, 60))) for _ in range(300)] + ["x" * 5000, "", "a" * 70000]
+    for size in (1, 7, 303):
+        got = [ids for i in range(0, len(texts), size) for ids in encoder.encode_all(texts[i : i + size])]
+        assert got == [reference(t) for t in texts] and len(encoder.kept) <= 40
+
+
 def test_broken_bytes_decode_like_the_library():
     rnd = random.Random(9)
     for _ in range(300):
