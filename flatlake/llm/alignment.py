@@ -30,7 +30,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe_stream import Encoder, loaded, rows_of, tokenizer_text
+from .bpe_stream import Encoder, loaded, packed, rows_of, tokenizer_text
 from .linking import written
 
 #: Pair counts sent to the tasks at most (16 bytes each).
@@ -38,7 +38,7 @@ SENT_PAIRS = 1 << 18
 #: Pairs held in a task before they are folded, and pairs formed at a time.
 FOLD = 1 << 21
 #: Bytes of text handled at a time; segments kept with their ids, of at most KEEP_CHARS characters.
-SLICE, KEEP, KEEP_CHARS = 1 << 21, 1 << 17, 64
+SLICE, KEEP, KEEP_CHARS = 1 << 21, 1 << 18, 64
 
 _SEGMENT = re.compile(" +[^ ]*")
 _BYTE = re.compile("<0x([0-9A-F]{2})>")
@@ -63,9 +63,9 @@ class Pieces:
         self.bytes = [bytes([int(m[1], 16)]) if m else name.replace(MARK, " ").encode() for m, name in zip(byte, names)]
         self.is_byte = [m is not None for m in byte]
         self.blank = self.model.piece_to_id(MARK)
-        self.kept: dict[str, list[int]] = {}
+        self.kept: dict[str, bytes] = {}
 
-    def encode_all(self, spaced: list[str]) -> list[list[int]]:
+    def encode_all(self, spaced: list[str]) -> list[np.ndarray]:
         """Ids of texts that start with a blank (the one the model adds); new segments of all of them go to the model together."""
         cut = [_SEGMENT.findall(t) if self.split and MARK not in t else [t] for t in spaced]
         pieces = set(chain.from_iterable(cut))
@@ -75,10 +75,10 @@ class Pieces:
             new = pieces
         new = sorted(new)
         ids = self.model.encode([s[1:] for s in new], num_threads=1)
-        table = dict(zip(new, ([self.blank] if s == " " else x for s, x in zip(new, ids))))
+        table = dict(zip(new, (packed([self.blank] if s == " " else x) for s, x in zip(new, ids))))
         self.kept.update((s, x) for s, x in table.items() if len(s) <= KEEP_CHARS and len(new) <= KEEP)
         table.update((s, self.kept[s]) for s in pieces.difference(table))
-        return [list(chain.from_iterable(map(table.__getitem__, c))) for c in cut]
+        return [np.frombuffer(b"".join(map(table.__getitem__, c)), np.int32) for c in cut]
 
 
 class Aligner:
@@ -93,13 +93,13 @@ class Aligner:
         self.same = identity_map(merges.bytes, self.b.bytes, self.b.is_byte)
         self.text = [f"{i}{end}" for i in range(self.size_a) for end in (",", "|")] + [f"{i}{end}" for i in range(self.size_b) for end in (",", ";", "")]
 
-    def tokens(self, texts: list) -> list[tuple[list[int], list[int]]]:
+    def tokens(self, texts: list) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids of both for every text; none if B's bytes are not those of space + text (A's always are)."""
         spaced = [" " + t if t else "" for t in texts]
         b = self.b.encode_all(spaced)
-        same = [b"".join(map(self.b.bytes.__getitem__, ids)) == t.encode() for t, ids in zip(spaced, b)]
+        same = [b"".join(map(self.b.bytes.__getitem__, ids.tolist())) == t.encode() for t, ids in zip(spaced, b)]
         a = self.a.encode_all([t if ok else "" for t, ok in zip(spaced, same)])
-        return [(x, y if ok else []) for x, y, ok in zip(a, b, same)]
+        return [(x, y if ok else y[:0]) for x, y, ok in zip(a, b, same)]
 
 
 def identity_map(a: list[bytes], b: list[bytes], is_byte: list[bool]) -> np.ndarray:
@@ -174,7 +174,7 @@ def aligned_rows(t: Aligner, ids: pa.Array, texts: list) -> pa.RecordBatch:
     n = len(texts)
     tokens = t.tokens(texts)
     sizes_a, sizes_b = (np.array([len(x[k]) for x in tokens], np.int64) for k in (0, 1))
-    a, b = (np.concatenate([np.zeros(0, np.int64), *(np.asarray(x[k], np.int64) for x in tokens)]) for k in (0, 1))
+    a, b = (np.concatenate([np.zeros(0, np.int32), *(x[k] for x in tokens)]).astype(np.int64) for k in (0, 1))
     row_a, row_b = np.repeat(np.arange(n), sizes_a), np.repeat(np.arange(n), sizes_b)
     ends_a, ends_b = np.cumsum(t.length_a[a]), np.cumsum(t.length_b[b])
     total = int(ends_a[-1]) if len(a) else 0

@@ -34,8 +34,9 @@ from __future__ import annotations
 import codecs
 import heapq
 import json
-from bisect import bisect_left
-from itertools import chain
+from array import array
+from bisect import bisect_left, bisect_right
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -56,7 +57,7 @@ SLICE = 1 << 22
 #: Words merged together at a time.
 TOGETHER = 1 << 14
 #: Pre-tokens kept with their ids (of at most KEEP_CHARS characters); the table starts anew when it is full.
-KEEP, KEEP_CHARS = 1 << 17, 64
+KEEP, KEEP_CHARS = 1 << 18, 64
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -147,10 +148,10 @@ class Merges:
                 heapq.heappush(heap, (rank[k], h, k))
         return [t for t in ids if t >= 0]
 
-    def together(self, words: list[bytes]) -> list[list[int]]:
-        """``merged`` of many short words, one merge of every word at a time over arrays."""
+    def together(self, words: list[bytes]) -> list[bytes]:
+        """``merged`` of many short words, packed; one merge of every word at a time over arrays."""
         lengths = np.array([len(w) for w in words], np.int64)
-        out: list[list[int]] = [[]] * len(words)
+        out = [b""] * len(words)
         order = np.argsort(lengths, kind="stable")
         begin = int(np.searchsorted(lengths[order], 1))
         while begin < len(order):
@@ -162,7 +163,7 @@ class Merges:
             begin = end
         return out
 
-    def _matrix(self, words: list[bytes], width: int) -> list[list[int]]:
+    def _matrix(self, words: list[bytes], width: int) -> list[bytes]:
         keys, ranks_of, made, first = self.arrays
         none = len(made)
         n = np.array([len(w) for w in words])
@@ -176,15 +177,16 @@ class Merges:
             return np.where((keys[at] == key) & (x >= 0) & (y >= 0), ranks_of[at], none)
 
         ranks = np.concatenate([rank(ids[:, :-1], ids[:, 1:]), np.full((len(words), 1), none)], axis=1)
-        done: list = [None] * len(words)
+        done = [b""] * len(words)
         row = np.arange(len(words))
         while len(row):
             at = ranks.argmin(axis=1)
             here = np.arange(len(row))
             least = ranks[here, at]
             open_ = least < none
-            for i, k, line in zip(row[~open_].tolist(), n[~open_].tolist(), ids[~open_].tolist()):
-                done[i] = line[:k]
+            flat = ids[~open_].astype(np.int32).tobytes()
+            for j, (i, k) in enumerate(zip(row[~open_].tolist(), n[~open_].tolist())):
+                done[i] = flat[4 * width * j : 4 * (width * j + k)]
             row, n, ids, ranks, at, least = row[open_], n[open_] - 1, ids[open_], ranks[open_], at[open_], least[open_]
             here = np.arange(len(row))
             # the merged id takes the left place, everything behind moves up by one
@@ -199,33 +201,35 @@ class Merges:
             ranks[left, at[left] - 1] = rank(ids[left, at[left] - 1], ids[left, at[left]])
         return done
 
-    def stable(self, tail: bytearray, out: list[int]) -> None:
+    def stable(self, tail: bytearray, out: bytearray) -> None:
         """Move the settled tokens at the start of *tail* to *out* until less than a window is left."""
         while len(tail) >= self.window:
-            end = 0
-            for t in self.merged(bytes(tail[: self.window])):
-                if end + len(self.bytes[t]) > self.window - self.lookahead:
-                    break
-                end += len(self.bytes[t])
-                out.append(t)
-            del tail[:end]
-
-    def whole(self, data: bytes) -> list[int]:
-        """Ids of one pre-token of any length, window by window."""
-        out: list[int] = []
-        tail = bytearray(data)
+            ids = self.merged(bytes(tail[: self.window]))
+            ends = list(accumulate(len(self.bytes[t]) for t in ids))
+            settled = bisect_right(ends, self.window - self.lookahead)
+            out += packed(ids[:settled])
+            del tail[: ends[settled - 1]]
+
+    def whole(self, data: bytes) -> bytes:
+        """Packed ids of one pre-token of any length, window by window."""
+        out, tail = bytearray(), bytearray(data)
         self.stable(tail, out)
-        return out + self.merged(bytes(tail))
+        return bytes(out) + packed(self.merged(bytes(tail)))
+
+
+def packed(ids: list[int]) -> bytes:
+    """Ids as 32-bit integers one after the other, as they go into Arrow."""
+    return array("i", ids).tobytes()
 
 
 class Kept(dict):
-    """Pre-token -> ids, bounded."""
+    """Pre-token -> packed ids, bounded."""
 
     def __init__(self, merges: Merges):
         super().__init__()
         self.merges = merges
 
-    def __missing__(self, piece: str) -> list[int]:
+    def __missing__(self, piece: str) -> bytes:
         ids = self.merges.whole(piece.encode("utf-8", "surrogatepass"))
         if len(piece) <= KEEP_CHARS:
             if len(self) >= KEEP:
@@ -244,7 +248,7 @@ class Kept(dict):
 
 
 class Encoder:
-    """One text in pieces: ``feed`` returns the ids that are settled, ``finish`` the rest."""
+    """One text in pieces: ``feed`` returns the ids that are settled, ``finish`` the rest (arrays of 32-bit integers)."""
 
     pattern = regex.compile(PRE_TOKEN)
     runs = {k: regex.compile(v) for k, v in RUNS.items()}
@@ -260,40 +264,35 @@ class Encoder:
     def reset(self) -> None:
         self.held, self.open, self.tail = "", None, bytearray()
 
-    def feed(self, text: str) -> list[int]:
-        return self._step(text, False)
+    def feed(self, text: str) -> np.ndarray:
+        return np.frombuffer(self._step(text, False), np.int32)
 
-    def finish(self) -> list[int]:
+    def finish(self) -> np.ndarray:
         out = self._step("", True)
         self.reset()
-        return out
+        return np.frombuffer(out, np.int32)
 
-    def encode(self, text: str) -> list[int]:
-        if len(text) <= STEP:
-            return self._step(text, True)
-        out: list[int] = []
-        for i in range(0, len(text), STEP):
-            out += self.feed(text[i : i + STEP])
-        return out + self.finish()
+    def encode(self, text: str) -> np.ndarray:
+        return np.concatenate([*(self.feed(text[i : i + STEP]) for i in range(0, len(text), STEP)), self.finish()])
 
-    def encode_all(self, texts: list[str]) -> list[list[int]]:
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of many texts; new pre-tokens of all of them are merged together."""
         plain = [len(t) <= STEP and not (self.special and self.special.search(t)) for t in texts]
         cut = [self.pattern.findall(t) if p else None for t, p in zip(texts, plain)]
         self.kept.meet(chain.from_iterable(c for c in cut if c))
         ids_of = self.kept.__getitem__
-        return [self.encode(t) if c is None else list(chain.from_iterable(map(ids_of, c))) for t, c in zip(texts, cut)]
+        return [self.encode(t) if c is None else np.frombuffer(b"".join(map(ids_of, c)), np.int32) for t, c in zip(texts, cut)]
 
-    def _step(self, text: str, last: bool) -> list[int]:
-        buffer, out = self.held + text, []
+    def _step(self, text: str, last: bool) -> bytearray:
+        buffer, out = self.held + text, bytearray()
         while self.special and (found := self.special.search(buffer)):
             self._segment(buffer[: found.start()], True, out)
-            out.append(self.merges.specials[found.group()])
+            out += packed([self.merges.specials[found.group()]])
             buffer = buffer[found.end() :]
         self.held = self._segment(buffer, last, out)
         return out
 
-    def _segment(self, buffer: str, last: bool, out: list[int]) -> str:
+    def _segment(self, buffer: str, last: bool, out: bytearray) -> str:
         """Emit what is settled of *buffer*; returns the characters that are not."""
         if self.open:
             used = self.runs[self.open].match(buffer).end()
@@ -307,7 +306,7 @@ class Encoder:
             buffer = buffer[used:]
             if not ended:
                 return buffer
-            out += self.merges.merged(bytes(self.tail))
+            out += packed(self.merges.merged(bytes(self.tail)))
             self.open, self.tail = None, bytearray()
         pieces = self.pattern.findall(buffer)
         rest, piece = 0, ""
@@ -315,7 +314,7 @@ class Encoder:
             while pieces and rest < self.hold:
                 piece = pieces.pop()
                 rest += len(piece)
-        out += chain.from_iterable(map(self.kept.__getitem__, pieces))
+        out += b"".join(map(self.kept.__getitem__, pieces))
         held = buffer[len(buffer) - rest :]
         if len(piece) <= OPEN:
             return held
@@ -390,7 +389,7 @@ def encoded(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", te
         encoder = Encoder(merges, kept, specials)
         for batch in batches:
             for part in rows_of(batch, 1, SLICE):
-                lists = [np.asarray(ids, np.int32) for ids in encoder.encode_all([t or "" for t in part.column(1).to_pylist()])]
+                lists = encoder.encode_all([t or "" for t in part.column(1).to_pylist()])
                 offsets = np.zeros(len(lists) + 1, np.int32)
                 np.cumsum([len(x) for x in lists], out=offsets[1:])
                 flat = np.concatenate(lists) if lists else np.zeros(0, np.int32)
