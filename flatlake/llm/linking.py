@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import delete_path, scratch_path
 
 #: Buckets up to this size compare their remaining pairs in one equi-join; larger ones take PIVOTS members at a time.
 SMALL, PIVOTS = 256, 128
@@ -62,46 +62,70 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
-def linked_components(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked_components(members: DataFrame, likely: Callable[[str], Column], verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Components under all verified links between members of a common bucket.
 
-    ``members(key, id)``: candidate buckets, each row once.  ``verify(pairs(a, b))`` returns
-    the pairs that are links.  Pairs of a bucket are not all emitted: each
-    member first meets the bucket's smallest and largest id.  Only buckets
-    whose members are still in several components go on, and there only pairs
-    across components: small buckets at once, large ones PIVOTS members of
-    their smallest components at a time, until every open pair was compared.
-    So the components are those of all candidate pairs, without a cap.
-    Returns ``(id, component)`` for ids with a link.
+    ``members(key, id, ...)``: candidate buckets, each row once; further columns
+    (a sketch) depend on the id alone.  ``likely(prefix)`` is a condition on a
+    pair inside the join, the second row's columns having *prefix*;
+    ``verify(pairs(a, b))`` returns the pairs that are links.  Pairs of a bucket
+    are not all emitted: each member first meets the bucket's smallest and
+    largest id.  Only buckets whose members are still in several components go
+    on, and there only pairs across components: small buckets at once, large
+    ones PIVOTS members of their smallest components at a time, until every
+    open pair was compared.  So the components are those of all candidate pairs
+    that are likely, without a cap.  A round's tables go once the next are
+    written.  Returns ``(id, component)`` for ids with a link.
     """
-    counted = members.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi")
-    opened = written(members.join(counted, "key"), "buckets")
-    ends = opened.select("id", F.explode(F.array("lo", "hi")).alias("p")).filter("id != p")
-    links = written(verify(pair_of(ends, "id", "p")), "links")
+    spark = members.sparkSession
+    second = lambda df, *more: df.select("key", *(F.col(c).alias(f"p_{c}") for c in [*columns, *more]))
+    columns = [c for c in members.columns if c != "key"]
+    scratch: list[str] = []
+
+    def held(df: DataFrame, name: str) -> DataFrame:
+        scratch.append(scratch_path(spark, name))
+        df.write.parquet(scratch[-1])
+        return spark.read.schema(df.schema).parquet(scratch[-1])
+
+    def drop(paths: list[str]) -> None:
+        for path in paths:
+            delete_path(spark, path)
+            scratch.remove(path)
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return written(verify(held(pair_of(pairs.filter(likely("p_")), "id", "p_id"), "pairs")), "links")
+
+    bounds = members.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi")
+    opened = held(members.join(bounds, "key"), "buckets")
+    ends = second(opened.filter("id = lo or id = hi"))
+    links = linked(opened.join(ends, "key").filter("id != p_id"))
     known = written(components(links), "components")
-    opened = opened.filter("id != lo and id != hi")  # those two have met everyone
+    opened = opened.filter("id != lo and id != hi").drop("lo", "hi")  # those two have met everyone
     while True:
-        label = F.coalesce("component", "id").alias("label")
-        labelled = opened.join(known, "id", "left").select("key", "id", label)
-        mixed = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("key", "n")
-        rest = written(labelled.join(mixed, "key"), "open")
-        sizes = rest.agg(F.sum((F.col("n") <= SMALL).cast("long")), F.sum((F.col("n") > SMALL).cast("long"))).first()
+        before = list(scratch)
+        labelled = opened.join(known, "id", "left").withColumn("label", F.coalesce("component", "id"))
+        mixed = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("n_members"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("key", "n_members")
+        rest = held(labelled.drop("component").join(mixed, "key"), "open")
+        sizes = rest.agg(F.sum((F.col("n_members") <= SMALL).cast("long")), F.sum((F.col("n_members") > SMALL).cast("long"))).first()
         if not sizes[0] and not sizes[1]:
+            drop(list(scratch))
             return known
-        right = rest.select("key", F.col("id").alias("p"), F.col("label").alias("other"))
-        few = rest.filter(F.col("n") <= SMALL).join(right, "key").filter("id < p and label != other")
-        pairs = few.select("id", "p")
-        many = rest.filter(F.col("n") > SMALL)
+        few = rest.filter(F.col("n_members") <= SMALL)
+        pairs = few.join(second(few, "label"), "key").filter("id < p_id and label != p_label").drop("p_label")
+        many = rest.filter(F.col("n_members") > SMALL)
         if sizes[1]:
             shares = many.groupBy("key", "label").agg(F.count(F.lit(1)).alias("share"))
             turn = Window.partitionBy("key").orderBy("share", "id")
             pivots = many.join(shares, ["key", "label"]).withColumn("turn", F.row_number().over(turn)).filter(F.col("turn") <= PIVOTS)
-            pivots = written(pivots.select("key", F.col("id").alias("p"), F.col("label").alias("other")), "pivots")
-            pairs = pairs.unionByName(many.join(pivots, "key").filter("label != other").select("id", "p"))
-            opened = many.join(pivots, (many["key"] == pivots["key"]) & (many["id"] == pivots["p"]), "left_anti").select("key", "id")
-        known = joined(known, written(verify(pair_of(pairs, "id", "p")), "links"))
+            pivots = held(second(pivots, "label"), "pivots")
+            pairs = pairs.unionByName(many.join(pivots, "key").filter("label != p_label").drop("p_label"))
+            met = pivots.select(F.col("key").alias("met_key"), "p_id")
+            opened = many.join(met, (many["key"] == met["met_key"]) & (many["id"] == met["p_id"]), "left_anti").select("key", *columns)
+        known = joined(known, linked(pairs))
         if not sizes[1]:
+            drop(list(scratch))
             return known
+        drop(before)
 
 
 def joined(known: DataFrame, links: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .linking import written
@@ -73,19 +73,22 @@ def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def featured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, x)`` per input row: the features of the whole text (null: empty)."""
+def featured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row: Column | None = None) -> DataFrame:
+    """``(doc_id, x)`` per input row, with ``row`` if given: the features of the whole text (null: empty)."""
+    heads = [F.col(id_col).cast("bigint").alias("doc_id"), *([] if row is None else [row.cast("bigint").alias("row")])]
+    names = ["doc_id", *([] if row is None else ["row"])]
 
     def run(batches):
         for batch in batches:
-            data, offsets = buffer_of(batch.column(1))
+            data, offsets = buffer_of(batch.column(len(names)))
             for lo, hi in pieces(offsets, STEP):
                 x = features(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
                 at = np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(at), pa.array(x.reshape(-1)))], names=["doc_id", "x"])
+                kept = [batch.column(i).slice(lo, hi - lo) for i in range(len(names))]
+                yield pa.RecordBatch.from_arrays([*kept, pa.ListArray.from_arrays(pa.array(at), pa.array(x.reshape(-1)))], names=[*names, "x"])
 
-    narrow = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id bigint, x array<float>")
+    narrow = docs.select(*heads, F.col(text_col).cast("string").alias("text"))
+    return narrow.mapInArrow(run, ", ".join(f"{n} bigint" for n in names) + ", x array<float>")
 
 
 @dataclass
@@ -183,27 +186,28 @@ def fitted(x: DataFrame, labels: DataFrame, learn: str) -> Model | None:
 
 
 def scored(x: DataFrame, model: Model | None) -> DataFrame:
-    """``(doc_id, score)``; without a model every score is 0.5."""
+    """*x* with ``score`` in place of the features; without a model every score is 0.5."""
+    names = [c for c in x.columns if c != "x"]
     if model is None:
-        return x.select("doc_id", F.lit(0.5).alias("score"))
+        return x.select(*names, F.lit(0.5).alias("score"))
 
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                lists = batch.column(1)
+                lists = batch.column(len(names))
                 flat = lists.flatten().to_numpy(zero_copy_only=False)
                 score = sigmoid(model.logits(flat.reshape(batch.num_rows, -1)))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], names=["doc_id", "score"])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score)], names=[*names, "score"])
 
-    return x.mapInArrow(run, "doc_id bigint, score double")
+    return x.mapInArrow(run, ", ".join(f"{n} bigint" for n in names) + ", score double")
 
 
 #: Labels are learnt where crc32 of the id's text leaves this remainder other than 1.
 HELD_OUT = "pmod(crc32(cast(cast(doc_id as string) as binary)), 3) = 1"
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, held_out, score, predicted)`` for every row of *docs*.
+def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", row: Column | None = None) -> DataFrame:
+    """``(doc_id, held_out, score, predicted)`` for every row of *docs*, led by ``row`` if given.
 
     Defined cases: a null text counts as empty and is scored like any other; a
     null id is scored, never learnt from, and not held out; null labels are
@@ -211,10 +215,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     label every score is 0.5; rows are scored one by one, repeated or not; an
     empty table gives an empty result; other columns are ignored.
     """
-    x = written(featured(docs, id_col, text_col), "features")
+    x = written(featured(docs, id_col, text_col, row), "features")
     out = scored(x, fitted(x, labels, f"not ({HELD_OUT})"))
     return out.select(
-        F.col("doc_id").alias(id_col), F.coalesce(F.expr(HELD_OUT), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+        *([] if row is None else ["row"]), F.col("doc_id").alias(id_col), F.coalesce(F.expr(HELD_OUT), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
 
 
