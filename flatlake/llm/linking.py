@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import delete_path, scratch_path
@@ -23,6 +23,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Have the shuffle files of finished steps removed.
+
+    Spark's cleaner removes what the driver no longer refers to, but finds that
+    out only when the driver's JVM collects garbage, by default every half hour.
+    """
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 def only(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     """Rows of *df* whose *column* is in the table ``ids(column)`` of distinct values.
 
@@ -62,11 +71,11 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
-def linked_components(members: DataFrame, likely: Callable[[str], Column], verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked_components(members: DataFrame, sketches: DataFrame, likely: Callable[[str], Column], verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Components under all verified links between members of a common bucket.
 
-    ``members(key, id, ...)``: candidate buckets, each row once; further columns
-    (a sketch) depend on the id alone.  ``likely(prefix)`` is a condition on a
+    ``members(key, id)``: candidate buckets, each row once; ``sketches(id, ...)``:
+    what is known of every id.  ``likely(prefix)`` is a condition on a
     pair inside the join, the second row's columns having *prefix*;
     ``verify(pairs(a, b))`` returns the pairs that are links.  Pairs of a bucket
     are not all emitted: each member first meets the bucket's smallest and
@@ -79,7 +88,7 @@ def linked_components(members: DataFrame, likely: Callable[[str], Column], verif
     """
     spark = members.sparkSession
     second = lambda df, *more: df.select("key", *(F.col(c).alias(f"p_{c}") for c in [*columns, *more]))
-    columns = [c for c in members.columns if c != "key"]
+    columns = sketches.columns
     scratch: list[str] = []
 
     def held(df: DataFrame, name: str) -> DataFrame:
@@ -96,11 +105,14 @@ def linked_components(members: DataFrame, likely: Callable[[str], Column], verif
         return written(verify(held(pair_of(pairs.filter(likely("p_")), "id", "p_id"), "pairs")), "links")
 
     bounds = members.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi")
-    opened = held(members.join(bounds, "key"), "buckets")
+    shared = held(members.join(bounds, "key"), "shared-keys")
+    release(spark)
+    opened = held(shared.join(sketches, "id"), "buckets")
+    release(spark)
     ends = second(opened.filter("id = lo or id = hi"))
     links = linked(opened.join(ends, "key").filter("id != p_id"))
     known = written(components(links), "components")
-    opened = opened.filter("id != lo and id != hi").drop("lo", "hi")  # those two have met everyone
+    opened = opened.filter("id != lo and id != hi").select("key", *columns)  # those two have met everyone
     while True:
         before = list(scratch)
         labelled = opened.join(known, "id", "left").withColumn("label", F.coalesce("component", "id"))
@@ -122,6 +134,7 @@ def linked_components(members: DataFrame, likely: Callable[[str], Column], verif
             met = pivots.select(F.col("key").alias("met_key"), "p_id")
             opened = many.join(met, (many["key"] == met["met_key"]) & (many["id"] == met["p_id"]), "left_anti").select("key", *columns)
         known = joined(known, linked(pairs))
+        release(spark)
         if not sizes[1]:
             drop(list(scratch))
             return known
