@@ -1,8 +1,8 @@
 """Row filters and projections (value set, prefixes, user transforms).
 
-All predicates are built-in Column expressions: ``isin`` becomes ``In`` and
+Small sets are built-in Column expressions: ``isin`` becomes ``In`` and
 ``startswith`` becomes ``StringStartsWith``, both pushed into Parquet and CSV
-scans.  A user transform is a Column, a ``DataFrame -> DataFrame`` function,
+scans.  Large sets are tables, looked up by hash (:func:`with_set_match`).  A user transform is a Column, a ``DataFrame -> DataFrame`` function,
 or an Arrow batch function run with ``mapInArrow``.
 """
 
@@ -49,6 +49,75 @@ def ticker_predicate(
     return reduce(lambda a, b: a | b, parts)
 
 
+#: Values and prefixes up to which a filter is one predicate.
+FEW = 200
+#: Rows of a set that is sent to every task; larger ones are joined by a shuffle.
+SENT_ROWS = 500_000
+
+
+def disjoint_prefixes(prefixes: DataFrame) -> DataFrame:
+    """``(prefix)`` without those that begin with another one of the set; as ranges of text they are disjoint."""
+    own = prefixes.select(F.col(prefixes.columns[0]).cast("string").alias("prefix")).filter("prefix is not null").distinct()
+    shorter = own.select("prefix", F.explode(F.sequence(F.lit(0), F.length("prefix"))).alias("n")).filter(F.col("n") < F.length("prefix"))
+    covered = shorter.select("prefix", F.substring("prefix", F.lit(1), F.col("n")).alias("head")).join(own.select(F.col("prefix").alias("head")), "head", "left_semi")
+    return own.join(covered.select("prefix").distinct(), "prefix", "left_anti")
+
+
+def with_set_match(df: DataFrame, column: str, values: DataFrame | None = None, prefixes: DataFrame | None = None, name: str = "_match") -> DataFrame:
+    """*df* with a boolean *name*: whether *column* is one of *values* or starts with one of *prefixes* (NULL: false).
+
+    Both sets are DataFrames of one column and may be large.  A text starts
+    with at most one of the disjoint prefixes, and finding it takes one hash
+    lookup for each length that prefixes have.  Sets of at most SENT_ROWS rows
+    are sent to the tasks, so the rows stay where they are.  For larger ones the
+    distinct texts of the column are matched first (their heads, by equality)
+    and the rows are joined with what matched.
+    """
+    text = _as_text(F.col(f"`{column}`"), df.schema[column].dataType)
+    # helper columns with names that the rows do not have
+    mark = "_"
+    while any(c.lower().startswith(f"{mark}set") for c in df.columns):
+        mark += "_"
+    key, hit = f"{mark}set_key", f"{mark}set_hit"
+    wanted = []
+    if values is not None:
+        wanted.append((None, values.select(F.col(values.columns[0]).cast("string").alias(key)).filter(F.col(key).isNotNull()).distinct()))
+    if prefixes is not None:
+        apart = disjoint_prefixes(prefixes)
+        lengths = sorted(r[0] for r in apart.select(F.length("prefix")).distinct().collect())
+        wanted += [(n, apart.filter(F.length("prefix") == n).select(F.col("prefix").alias(key))) for n in lengths]
+    rows = sum(heads.count() for _, heads in wanted)
+    head = lambda n, of: of if n is None else F.when(F.length(of) >= n, F.substring(of, 1, n))
+    kept = [F.col(f"`{c}`") for c in df.columns]
+    if rows <= SENT_ROWS:
+        out = df
+        for i, (n, heads) in enumerate(wanted):
+            sent = F.broadcast(heads.withColumn(f"{hit}_{i}", F.lit(True)))
+            out = out.join(sent, head(n, text) == F.col(key), "left").drop(key)
+        hits = [F.coalesce(f"{hit}_{i}", F.lit(False)) for i in range(len(wanted))]
+        return out.select(*kept, reduce(lambda a, b: a | b, hits, F.lit(False)).alias(name))
+    texts = df.select(text.alias("text")).filter("text is not null").distinct()
+    kind = lambda n: F.lit(-1 if n is None else n)
+    heads_of = F.explode(F.array(*(F.struct(kind(n).alias("n"), head(n, F.col("text")).alias(key)) for n, _ in wanted)))
+    sets = reduce(DataFrame.unionByName, (heads.select(kind(n).alias("n"), key) for n, heads in wanted))
+    found = texts.select("text", heads_of.alias("k")).select("text", "k.*").join(sets, ["n", key], "left_semi").select(F.col("text").alias(key)).distinct()
+    out = df.join(found.withColumn(hit, F.lit(True)), text == F.col(key), "left")
+    return out.select(*kept, F.coalesce(hit, F.lit(False)).alias(name))
+
+
+def filter_by_sets(df: DataFrame, column: str, values: DataFrame | None = None, prefixes: DataFrame | None = None) -> DataFrame:
+    """Rows that match one of two sets given as DataFrames of one column (see :func:`with_set_match`)."""
+    if column not in df.columns:
+        raise ValueError(f"Filter column {column!r} not found in file columns {df.columns}")
+    return with_set_match(df, column, values, prefixes, "__match__").filter("__match__").drop("__match__")
+
+
+def as_set(spark, texts: Iterable) -> DataFrame | None:
+    """A Python collection as a DataFrame of one text column; None if it is empty."""
+    rows = [(str(t),) for t in dict.fromkeys(texts)]
+    return spark.createDataFrame(rows, "text string") if rows else None
+
+
 def filter_tickers(
     df: DataFrame,
     column: str = "ticker",
@@ -61,6 +130,8 @@ def filter_tickers(
         return df
     if column not in df.columns:
         raise ValueError(f"Filter column {column!r} not found in file columns {df.columns}")
+    if len(values) + len(prefixes) > FEW:
+        return filter_by_sets(df, column, as_set(df.sparkSession, values), as_set(df.sparkSession, prefixes))
     pred = ticker_predicate(column, values, prefixes, df.schema[column].dataType)
     # NULL drops the row like false does; a bare predicate stays pushable.
     return df.filter(pred)

@@ -4,7 +4,7 @@ One relational query: selected files LEFT JOIN current manifest entries LEFT
 JOIN existing outputs on ``rel``, then a CASE:
 
 * force                                           -> pull  (force)
-* entry, but ETag or signature differs            -> pull  (changed)
+* entry, but ETag, signature or path differs      -> pull  (changed)
 * entry current, and not written or output exists -> skip  (up to date)
 * entry current, written, output gone             -> pull  (output missing)
 * no entry, output exists                         -> skip  (exists)
@@ -30,6 +30,7 @@ def plan_actions(
     signature,
     force: bool = False,
     group_cols: list[str] | None = None,
+    by: str = "rel",
 ) -> DataFrame:
     """Add ``action`` (pull/skip) and ``reason`` to *files* (which carry ``rel``, ``etag``).
 
@@ -38,20 +39,25 @@ def plan_actions(
     *signature*: the run's signature (str) or a Column.
     *group_cols*: physical partition columns; when set, any pull in a group
     pulls the whole group.
+    *by*: what names a file in the manifest: its rendered path, or its ``key``
+    (*current* then has one entry a key); a new path is a change then.
     """
     sig = F.lit(signature) if isinstance(signature, str) else signature
     m = current.select(
-        "rel",
+        by,
+        *([F.col("rel").alias("_m_rel")] if by != "rel" else []),
         F.col("etag").alias("_m_etag"),
         F.col("signature").alias("_m_sig"),
         F.col("written").alias("_m_written"),
         F.lit(True).alias("_m_has"),
     )
     o = outputs.select("rel", F.lit(True).alias("_exists")).distinct()
-    j = files.join(m, "rel", "left").join(o, "rel", "left")
+    j = files.join(m, by, "left").join(o, "rel", "left")
     has = F.coalesce(F.col("_m_has"), F.lit(False))
     exists = F.coalesce(F.col("_exists"), F.lit(False))
     current_ok = has & (F.col("_m_etag") == F.col("etag")) & (F.col("_m_sig") == sig)
+    if by != "rel":
+        current_ok &= F.col("_m_rel") == F.col("rel")
     written = F.coalesce(F.col("_m_written"), F.lit(False))
     reason = (
         F.when(F.lit(force), F.lit("force"))
@@ -69,7 +75,7 @@ def plan_actions(
         planned = planned.withColumn(
             "reason", F.when((F.col("action") == "skip") & any_pull, F.lit("partition rewrite")).otherwise(F.col("reason"))
         ).withColumn("action", F.when(any_pull, F.lit("pull")).otherwise(F.col("action")))
-    return planned.drop("_m_etag", "_m_sig", "_m_written", "_m_has", "_exists")
+    return planned.drop("_m_rel", "_m_etag", "_m_sig", "_m_written", "_m_has", "_exists")
 
 
 def new_files(files: DataFrame, current: DataFrame) -> DataFrame:

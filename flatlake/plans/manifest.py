@@ -94,6 +94,12 @@ def read_current(spark: SparkSession, output_root: str) -> DataFrame:
     return current_entries(read_log(spark, output_root))
 
 
+def newest_per_key(entries: DataFrame) -> DataFrame:
+    """Of current entries, the newest of each source key, whatever path it was rendered to."""
+    w = Window.partitionBy("key").orderBy(F.col("completed_at").desc(), F.col("run_id").desc(), F.col("rel").desc())
+    return entries.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+
+
 def append_entries(spark: SparkSession, output_root: str, entries: DataFrame, run_id: str) -> None:
     """Append ``ENTRY_COLUMNS`` rows as one run (one Spark commit)."""
     now = datetime.now(timezone.utc).replace(tzinfo=None)

@@ -5,6 +5,9 @@ produce typed rows and flag, per row, whether any value did not fit the
 file's schema (or the row was malformed).  The flag is what isolates a bad
 file: its key is dropped before publishing, the other files go through.
 
+Line ends inside quotes and row numbers go through :mod:`.records`, which keeps
+plain and bz2 files split over several tasks.
+
 Gzip is not splittable: each ``.gz`` file is one scan task.  Later stages
 (filters, writes) run on whatever partitioning follows; ``repartition`` after
 the scan spreads the work of a few huge files.
@@ -21,11 +24,13 @@ from pyspark.sql import types as T
 
 from ..config import FALSE_TOKENS, NULL_TOKENS, TRUE_TOKENS
 from ..session import bounded_listing
+from .records import record_columns
 from .schema import CSV_OPTIONS, FLOAT_PATTERN, INT_PATTERN, compression_for_name
 
 BAD_COL = "_bad"
 ROW_BAD = "_row_bad"
 PATH_COL = "_path"
+NUMBER_COL = "_number"
 
 _SPARK_CODECS = {None, "gzip", "bz2", "zstd"}
 
@@ -41,16 +46,22 @@ def string_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType(fields + [T.StructField(BAD_COL, T.StringType(), True)])
 
 
-def read_text_columns(spark: SparkSession, paths: Sequence[str], columns: Sequence[str], multi_line: bool = False) -> DataFrame:
-    """All-string scan of files sharing one header, plus ``_bad`` and ``_path``."""
+def read_text_columns(spark: SparkSession, paths: Sequence[str], columns: Sequence[str], multi_line: bool = False, number: str | None = None) -> DataFrame:
+    """All-string scan of files sharing one header, plus ``_bad`` and ``_path``.
+
+    With *multi_line* quoted fields may hold line ends; with *number* the rows'
+    places in their files (from 0) are a column of that name.
+    """
     for p in paths:
         check_codec(p)
+    if multi_line or number:
+        rows = record_columns(spark, paths, columns, CSV_OPTIONS, BAD_COL, PATH_COL, number or NUMBER_COL)
+        return rows if number else rows.drop(NUMBER_COL)
     reader = (
         spark.read.schema(string_schema(columns))
         .option("header", True)
         .options(**CSV_OPTIONS)
         .option("columnNameOfCorruptRecord", BAD_COL)
-        .option("multiLine", multi_line)
     )
     with bounded_listing(spark):
         df = reader.csv(list(paths))
@@ -95,8 +106,8 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def apply_schema(df: DataFrame, schema: T.StructType, keep: Sequence[str] | None = None, limits: dict[str, int] | None = None) -> DataFrame:
-    """Typed columns of *schema* (restricted to *keep*), ``_row_bad``, ``_path``.
+def apply_schema(df: DataFrame, schema: T.StructType, keep: Sequence[str] | None = None, limits: dict[str, int] | None = None, more: Sequence[str] = ()) -> DataFrame:
+    """Typed columns of *schema* (restricted to *keep*), the columns *more* as they are, ``_row_bad``, ``_path``.
 
     *limits* are the largest values of unsigned columns.
 
@@ -116,7 +127,7 @@ def apply_schema(df: DataFrame, schema: T.StructType, keep: Sequence[str] | None
         typed.append(t.alias(n))
         misfits.append(value_misfit(quoted(n), t, dt, (limits or {}).get(n)))
     row_bad = reduce(lambda a, b: a | b, misfits)
-    return df.select(*typed, row_bad.alias(ROW_BAD), F.col(PATH_COL))
+    return df.select(*typed, *map(quoted, more), row_bad.alias(ROW_BAD), F.col(PATH_COL))
 
 
 def scan_csv(
@@ -126,7 +137,10 @@ def scan_csv(
     columns: Sequence[str] | None = None,
     multi_line: bool = False,
     limits: dict[str, int] | None = None,
+    number: str | None = None,
 ) -> DataFrame:
-    """Typed scan of files sharing one header; rows carry ``_row_bad`` and ``_path``."""
-    raw = read_text_columns(spark, paths, schema.names, multi_line)
-    return apply_schema(raw, schema, columns, limits)
+    """Typed scan of files sharing one header; rows carry ``_row_bad`` and ``_path``, and their *number* in the file if named."""
+    if number in schema.names:
+        raise ValueError(f"the files have a column {number!r}; name the row numbers otherwise")
+    raw = read_text_columns(spark, paths, schema.names, multi_line, number)
+    return apply_schema(raw, schema, columns, limits, [number] if number else ())

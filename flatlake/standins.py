@@ -34,14 +34,14 @@ from .functions.epoch import (
 )
 from .functions.signature import filter_signature_col
 from .functions.tickers import extract_underlying as underlying_col
-from .ingest import ingest
+from .ingest import ingest, ingest_underlying
 from .operators.aggregates import rows_per_file as rows_per_file_op, status_counts
-from .operators.filters import arrow_row_filter, filter_tickers, project as project_op
+from .operators.filters import arrow_row_filter, filter_by_sets, filter_tickers, project as project_op
 from .operators.union import union_widened
 from .plans import manifest as M
 from .plans.incremental import new_files, plan_actions
 from .plans.paths import with_rel
-from .session import delete_path, ensure_utc, scratch_path, touch
+from .session import delete_path, ensure_utc, scratch_path, session_conf, touch
 from .sinks.formats import get_format, read_output
 from .sinks.raw import copy_files, md5_files
 from .sources import catalog as C
@@ -879,6 +879,152 @@ def q_ingest_status_counts(spark, sf_dir):
     return status_counts(q_ingest_outcomes(spark, sf_dir))
 
 
+# --------------------------------------------------------------------------- #
+# Batch, stream and templates over one table; records and their order; large sets
+# --------------------------------------------------------------------------- #
+
+EVENT_ROW = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("ticker", T.StringType()), T.StructField("value", T.DoubleType())])
+
+
+def q_ingest_batch_then_stream(spark, sf_dir):
+    """The first days by a batch, all days by the stream, the first day republished (values doubled), then another template."""
+    ensure_utc(spark)
+    rows = _event_rows(spark, sf_dir)
+    first, last = rows.agg(F.min("file_date"), F.max("file_date")).first()
+    src, out = scratch_path(spark, "batch-stream"), scratch_path(spark, "batch-stream-out")
+    cols = EVENT_ROW.names
+    kw = dict(start_date=first, end_date=last, column_types={"value": "float64"})
+    export_daily_files(spark, rows.filter(F.dayofmonth("file_date") <= 15), src, cols)
+    _checked(ingest(spark, src, out, [SIBLINGS], path_template=SIBLING_TEMPLATE, **kw))
+    export_daily_files(spark, rows.filter(F.dayofmonth("file_date") > 15), src, cols)
+    streamed = lambda: stream_ingest(spark, src, out, SIBLINGS, EVENT_ROW)
+    results = [streamed()]
+    for key in [r["key"] for r in list_objects(spark, src).filter(F.col("key").contains(f"/{first.isoformat()}")).collect()]:
+        delete_path(spark, f"{src}/{key}")
+    export_daily_files(spark, rows.filter(F.col("file_date") == F.lit(first)).withColumn("value", F.col("value") * 2), src, cols)
+    results.append(streamed())
+    for res in results:
+        if res.filter("status = 'failed'").limit(1).count():
+            raise RuntimeError("stream ingest failed")
+    _checked(ingest(spark, src, out, [SIBLINGS], path_template="again/" + SIBLING_TEMPLATE, **kw))
+    return present(spark.read.parquet(out).select(*cols, F.col("file_date").cast("date")))
+
+
+#: Splits small enough that the test tables' files have several.
+SMALL_SPLITS = {"spark.sql.files.maxPartitionBytes": "65536", "spark.sql.files.openCostInBytes": "4096"}
+
+
+def q_quoted_lines(spark, sf_dir):
+    """``orders`` as plain and bz2 CSV with line ends and quotes inside a field, read over several tasks a file."""
+    orders = table(spark, sf_dir, "orders")
+    note = F.concat(F.col("o_orderpriority"), F.lit('\n"said", '), F.col("o_orderkey").cast("string"), F.when(F.col("o_orderkey") % 3 == 0, F.lit("\n\nend")).otherwise(F.lit("")))
+    rows = orders.select("o_orderkey", note.alias("note"), "o_totalprice")
+    path, out = scratch_path(spark, "quoted"), scratch_path(spark, "quoted-out")
+    for name, part, codec in (("plain", "o_orderkey % 2 = 0", None), ("packed", "o_orderkey % 2 = 1", "bz2")):
+        get_format("csv").write(rows.filter(part), f"{path}/{name}", codec)
+    schema = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("note", T.StringType()), T.StructField("o_totalprice", T.DoubleType())])
+    with session_conf(spark, SMALL_SPLITS):
+        files = [r["path"] for r in list_objects(spark, path).filter(F.col("key").rlike("[.]csv([.]bz2)?$")).collect()]
+        scan_csv(spark, files, schema, multi_line=True).drop("_path").write.parquet(out)
+    return spark.read.parquet(out)
+
+
+def q_file_row_order(spark, sf_dir):
+    """``lineitem`` written in order, several files a return flag; every row's place, from its number in its file."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", F.col("l_orderkey").cast("bigint").alias("l_orderkey"), F.col("l_linenumber").cast("bigint").alias("l_linenumber"), "l_extendedprice"
+    )
+    path, out = scratch_path(spark, "ordered"), scratch_path(spark, "ordered-out")
+    get_format("csv").write(li, path, None, ["l_returnflag"], order_by=["l_orderkey", "l_linenumber"])
+    schema = T.StructType([
+        T.StructField("l_orderkey", T.LongType()), T.StructField("l_linenumber", T.LongType()), T.StructField("l_extendedprice", T.DoubleType()),
+    ])
+    with session_conf(spark, SMALL_SPLITS):
+        files = [r["path"] for r in list_objects(spark, path).filter(F.col("key").endswith(".csv")).collect()]
+        scan_csv(spark, files, schema, number="row").write.parquet(out)
+    back = spark.read.parquet(out)
+    sizes = back.groupBy("_path").agg(F.count(F.lit(1)).alias("n"))
+    folder = F.regexp_extract("_path", "l_returnflag=([^/]+)/", 1)
+    earlier = Window.partitionBy("l_returnflag").orderBy("_path").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.withColumn("l_returnflag", folder).withColumn("start", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    return back.join(starts, "_path").select("l_returnflag", (F.col("start") + F.col("row")).alias("place"), "l_orderkey", "l_linenumber")
+
+
+def q_filter_ticker_sets(spark, sf_dir):
+    """Rows of ``lineitem`` by two sets that come from other tables: parts as values, suppliers as prefixes."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.concat(F.lit("L"), F.col("l_partkey").cast("string")).alias("ticker"))
+    values = table(spark, sf_dir, "part").filter("p_size % 5 = 0").select(F.concat(F.lit("L"), F.col("p_partkey").cast("string")).alias("v"))
+    prefixes = table(spark, sf_dir, "supplier").filter("s_suppkey % 4 = 1").select(F.concat(F.lit("L"), F.col("s_suppkey").cast("string"), F.lit("7")).alias("p"))
+    return filter_by_sets(li, "ticker", values, prefixes)
+
+
+# --------------------------------------------------------------------------- #
+# Hints, JSON fallbacks, force and dry run, the preset
+# --------------------------------------------------------------------------- #
+
+
+def q_type_hints(spark, sf_dir):
+    """Rows and type of the columns of exported ``orders`` that are empty in every row: known names have types, others are text."""
+    orders = table(spark, sf_dir, "orders")
+    empty = ["otc", "conditions", "correction", "remark"]
+    rows = orders.select("o_orderkey", *(F.lit(None).cast("string").alias(c) for c in empty))
+    path = scratch_path(spark, "hints")
+    get_format("csv.gz").write(rows, path)
+    groups, _, _ = infer_file_schemas(spark, _export_files(spark, path))
+    (g,) = groups.values()
+    back = scan_csv(spark, [r.path for r in _export_files(spark, path).collect()], g["schema"])
+    kinds = {f.name: f.dataType.simpleString() for f in g["schema"].fields}
+    seen = back.agg(*(F.count(c).alias(f"n_{c}") for c in empty), F.count(F.lit(1)).alias("rows"))
+    each = F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.lit(kinds[c]).alias("type"), F.col(f"n_{c}").alias("filled")) for c in empty)))
+    # an empty field of a text column is an empty text, of any other a null
+    return seen.select(each.alias("e"), "rows").select("e.column", "e.type", "e.filled", "rows")
+
+
+def q_jsonl_fallbacks(spark, sf_dir):
+    """Decimals and bytes of ``orders`` through JSON Lines: both come back as text."""
+    rows = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_totalprice").cast("decimal(20,2)").alias("price"), F.encode("o_orderpriority", "UTF-8").alias("priority"),
+    )
+    path = scratch_path(spark, "jsonl-fallbacks")
+    get_format("jsonl").write(rows, path)
+    return read_output(spark, "jsonl", path).select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "price", "priority")
+
+
+def q_ingest_force_dry_run(spark, sf_dir):
+    """Files per status and reason of a dry run, a run, a rerun, a dry run with force and a forced run."""
+    ensure_utc(spark)
+    rows = _event_rows(spark, sf_dir)
+    first, last = rows.agg(F.min("file_date"), F.max("file_date")).first()
+    src, out = scratch_path(spark, "forced"), scratch_path(spark, "forced-out")
+    export_daily_files(spark, rows, src, EVENT_ROW.names)
+    steps = []
+    for step, kw in enumerate([dict(dry_run=True), {}, {}, dict(dry_run=True, force=True), dict(force=True)]):
+        run = ingest(spark, src, out, [SIBLINGS], start_date=first, end_date=last, path_template=SIBLING_TEMPLATE, **kw)
+        day = K.date_from_key("key").alias("day")
+        steps.append(run.result.select(F.lit(step).alias("step"), day, "status", "reason").distinct())
+    done = steps[0]
+    for more in steps[1:]:
+        done = done.unionByName(more)
+    return done.groupBy("step", "status", "reason").agg(F.count(F.lit(1)).alias("days"))
+
+
+def q_ingest_underlying(spark, sf_dir):
+    """Trades and quotes of one underlying out of option files made from ``events``."""
+    ensure_utc(spark)
+    ev = table(spark, sf_dir, "events")
+    symbol = F.element_at(F.array(F.lit("ZED"), F.lit("KIT"), F.lit("ORB")), (F.col("event_id") % 3 + 1).cast("int"))
+    rows = ev.select(
+        F.when(F.col("event_id") % 2 == 0, "us_options_opra/trades_v1").otherwise("us_options_opra/quotes_v1").alias("dataset"),
+        F.col("ts").cast("date").alias("file_date"), "event_id",
+        F.concat(F.lit("O:"), symbol, F.date_format("ts", "yyMMdd"), F.lit("C"), F.lpad(F.col("user_id").cast("string"), 8, "0")).alias("ticker"), "value",
+    )
+    src, out = scratch_path(spark, "options"), scratch_path(spark, "options-out")
+    export_daily_files(spark, rows, src, EVENT_ROW.names)
+    first, last = rows.agg(F.min("file_date"), F.max("file_date")).first()
+    _checked(ingest_underlying(spark, src, out, "KIT", "both", start_date=first, end_date=last, path_template=SIBLING_TEMPLATE, column_types={"value": "float64"}))
+    return present(spark.read.parquet(out).select("event_id", "ticker", "value", "data_type", F.col("file_date").cast("date")))
+
+
 # --------------------------------------------------------------------------- #
 # Flagship: newest 3 days per event type -> filter -> epoch/ISO -> counts
 # --------------------------------------------------------------------------- #
@@ -963,5 +1109,13 @@ QUERIES = {
     "ingest_schema_drift": q_ingest_schema_drift,
     "ingest_outcomes": q_ingest_outcomes,
     "ingest_status_counts": q_ingest_status_counts,
+    "ingest_batch_then_stream": q_ingest_batch_then_stream,
+    "quoted_lines": q_quoted_lines,
+    "file_row_order": q_file_row_order,
+    "filter_ticker_sets": q_filter_ticker_sets,
+    "type_hints": q_type_hints,
+    "jsonl_fallbacks": q_jsonl_fallbacks,
+    "ingest_force_dry_run": q_ingest_force_dry_run,
+    "ingest_underlying": q_ingest_underlying,
     "flagship": q_flagship,
 }

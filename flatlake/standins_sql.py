@@ -376,3 +376,34 @@ SQL.update({
     "sink_jsonl": _SINK_TEXT,
     "sink_jsonl_gz": _SINK_TEXT,
 })
+
+SQL.update({
+    "ingest_batch_then_stream": """
+SELECT event_id, 'U' || CAST(user_id AS VARCHAR) AS ticker,
+  CASE WHEN CAST(ts AS DATE) = (SELECT min(CAST(ts AS DATE)) FROM events) THEN value * 2 ELSE value END AS value,
+  CAST(CAST(ts AS DATE) AS VARCHAR) AS file_date
+FROM events""",
+    "quoted_lines": """
+SELECT o_orderkey, o_orderpriority || chr(10) || '"said", ' || CAST(o_orderkey AS VARCHAR)
+  || CASE WHEN o_orderkey % 3 = 0 THEN chr(10) || chr(10) || 'end' ELSE '' END AS note,
+  o_totalprice, false AS _row_bad
+FROM orders""",
+    "file_row_order": """
+SELECT l_returnflag, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber) - 1 AS place, l_orderkey, l_linenumber
+FROM lineitem""",
+    "filter_ticker_sets": """
+SELECT l_orderkey, l_linenumber, 'L' || CAST(l_partkey AS VARCHAR) AS ticker FROM lineitem
+WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size % 5 = 0)
+  OR EXISTS (SELECT 1 FROM supplier WHERE s_suppkey % 4 = 1 AND starts_with('L' || CAST(l_partkey AS VARCHAR), 'L' || CAST(s_suppkey AS VARCHAR) || '7'))""",
+    "type_hints": """
+SELECT "column", type, CASE WHEN type = 'string' THEN n ELSE 0 END AS filled, n AS rows
+FROM (VALUES ('otc', 'boolean'), ('conditions', 'string'), ('correction', 'bigint'), ('remark', 'string')) t("column", type), (SELECT count(*) AS n FROM orders)""",
+    "jsonl_fallbacks": "SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(20,2)) AS VARCHAR) AS price, o_orderpriority AS priority FROM orders",
+    "ingest_force_dry_run": """
+SELECT step, status, reason, (SELECT count(DISTINCT CAST(ts AS DATE)) FROM events) AS days
+FROM (VALUES (0, 'planned', 'new'), (1, 'written', 'new'), (2, 'skipped', 'up to date'), (3, 'planned', 'force'), (4, 'written', 'force')) t(step, status, reason)""",
+    "ingest_underlying": """
+SELECT event_id, 'O:KIT' || strftime(ts, '%y%m%d') || 'C' || lpad(CAST(user_id AS VARCHAR), 8, '0') AS ticker, value,
+  CASE WHEN event_id % 2 = 0 THEN 'trades_v1' ELSE 'quotes_v1' END AS data_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS file_date
+FROM events WHERE event_id % 3 = 1""",
+})

@@ -1,23 +1,30 @@
-"""Catch-up ingestion as a Structured Streaming query with ``availableNow``.
+"""Catch-up ingestion as Structured Streaming queries with ``availableNow``.
 
-The file source's checkpoint remembers which files were read, so each run
-picks up only files that appeared since the last one, then stops.  Note the
-file source ignores a file rewritten in place under the same name; the batch
-plan (ETag + manifest) remains the way to catch republished files.
+``stream_csv_available_now`` is the plain file source: its checkpoint remembers
+which files were read, so each run picks up only files that appeared since the
+last one, and a file rewritten under its name is not read again.
+``stream_ingest`` streams a log of (key, ETag) changes instead and sees both.
 """
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
+import time
+from datetime import date
 from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
+from ..functions.signature import filter_signature, read_signature, run_signature
+from ..ingest import RESULT_SCHEMA, _existing_locations, _location_col, _normalize_types, _process_parsed, _type_text
+from ..plans import manifest as M
+from ..plans.incremental import plan_actions
+from ..session import ensure_utc, path_exists, scratch_path
+from ..sinks.formats import get_format
+from ..sources import catalog as C
 from ..sources.csv_scan import typed_value
+from ..sources.listing import listing as list_objects, month_dirs
 
 
 def stream_csv_available_now(
@@ -61,6 +68,31 @@ def stream_csv_available_now(
 
 #: Bytes of a file's head that its header line must fit in.
 HEADER_BYTES = 1 << 20
+CHANGES = "key string, etag string, size bigint, path string, dataset string, file_date date, filename string, seen bigint"
+#: Objects of one file of the change log at most.
+LOGGED = 100_000
+
+
+def record_changes(spark: SparkSession, source_root: str, prefix: str, log: str, per_file: int | None = None) -> int:
+    """Append to *log* the dated objects of *prefix* that it does not know, or knows with another ETag; returns how many.
+
+    The newest row of a key in the log is the state a stream has been told of;
+    a new or republished object becomes one more row.
+    """
+    months = month_dirs(spark, source_root, [prefix], date.min, date.max)
+    objects = C.build_catalog(list_objects(spark, source_root, months, empty_objects=True)).filter(F.col("dataset") == prefix)
+    fresh = objects.select("key", "etag", "size", "path", "dataset", "file_date", "filename").withColumn("seen", F.lit(time.time_ns()))
+    if path_exists(spark, log):
+        told = spark.read.schema(CHANGES).parquet(log).groupBy("key").agg(F.max_by("etag", "seen").alias("told"))
+        fresh = fresh.join(told, "key", "left").filter(~F.col("told").eqNullSafe(F.col("etag"))).drop("told")
+    fresh = fresh.persist()
+    try:
+        many = fresh.count()
+        if many:
+            fresh.repartition(-(-many // (per_file or LOGGED))).write.mode("append").parquet(log)
+        return many
+    finally:
+        fresh.unpersist()
 
 
 def stream_ingest(
@@ -82,120 +114,69 @@ def stream_ingest(
     compression="default",
     partition_by: Sequence[str] = ("asset_class", "data_type", "file_date"),
     max_files_per_trigger: int | None = None,
+    multi_line: bool = False,
+    row_number: str | None = None,
 ) -> DataFrame:
-    """Cron catch-up: ingest every file of *dataset* not seen by earlier runs, then stop.
+    """Cron catch-up: ingest every file of *dataset* that is new or was republished since earlier runs, then stop.
+
+    A run first appends the objects whose ETag changed to a log beside the
+    checkpoint (:func:`record_changes`); the stream reads that log, so its
+    offsets are places in a list of (key, ETag) and a file rewritten under its
+    name comes again.  A run that dies leaves its rows in the log for the next.
 
     *schema* is the typed schema of the files' header (e.g. from
-    :func:`flatlake.sources.schema.infer_file_schemas`).  Each micro-batch is
-    processed like a batch run: rows are typed and validated on all their
-    fields, files with a bad row or another header are reported failed and not
-    published, matching rows are written with dynamic partition overwrite, and
-    one manifest entry per file is appended.  Every file owns its partition
-    (``src``), so a retried batch rewrites the same files and micro-batches of
-    any size add up to the same table.  Objects without a date in their name
-    are not data.  A micro-batch reads its files twice (a per-file summary,
-    then the publish); the batch :func:`flatlake.ingest.ingest` stages instead
-    and reads them once.  A file that cannot be decompressed stops the run (the
-    batch ingest isolates it).
-    Returns the per-file results of this run.
+    :func:`flatlake.sources.schema.infer_file_schemas`).  Each micro-batch is a
+    batch run over its files: planned against the manifest, staged in one pass,
+    files with a bad row, another header or bytes that cannot be decompressed
+    reported failed and left out, the others published by dynamic partition
+    overwrite with one manifest entry each.  Every file owns its partition
+    (``src``, by its key, as in :func:`flatlake.ingest.ingest`), so a retried
+    batch rewrites the same files, micro-batches of any size add up to the same
+    table, and batch and stream runs may share one.  Objects without a date in
+    their name are not data.  Returns the per-file results of this run.
     """
-    from ..functions.epoch import convert_epochs, resolve_timestamp_columns
-    from ..functions.keys import date_from_key
-    from ..ingest import RESULT_SCHEMA, SOURCE_COL, _partition_exprs, source_id
-    from ..operators.filters import ticker_predicate
-    from ..plans import manifest as M
-    from ..session import ensure_utc, qualify
-    from ..sinks.formats import get_format
-    from ..sources.catalog import resolve_dataset
-    from ..plans.table_schema import fit_table
-    from ..sources.csv_scan import BAD_COL, PATH_COL, ROW_BAD, apply_schema, string_schema
-    from ..sources.schema import CSV_OPTIONS, parse_header, sample_heads
-
     ensure_utc(spark)
-    prefix = resolve_dataset(dataset)
+    prefix = C.resolve_dataset(dataset)
     fmt = get_format(output_format)
     codec = fmt.resolve_compression(compression)
-    checkpoint = checkpoint or f"{output_root.rstrip('/')}/_stream_checkpoints/{prefix.replace('/', '__')}"
-    qroot = qualify(spark, source_root).rstrip("/")
-    reader = (
-        spark.readStream.schema(string_schema(schema.names))
-        .option("header", True)
-        .options(**CSV_OPTIONS)
-        .option("columnNameOfCorruptRecord", BAD_COL)
+    checkpoint = (checkpoint or f"{output_root.rstrip('/')}/_stream_checkpoints/{prefix.replace('/', '__')}").rstrip("/")
+    log = f"{checkpoint}_changes"
+    types = _normalize_types({f.name: f.dataType for f in schema.fields})
+    signature = run_signature(
+        fmt.name, codec, filter_signature(filter_column, tickers, ticker_prefixes),
+        read_signature(columns, _type_text(types), timestamp_columns, timestamp_unit), None,
+        None if row_number is None else {"row_number": row_number},
     )
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.csv(f"{qroot}/{prefix}/[0-9][0-9][0-9][0-9]/[0-9][0-9]/*").withColumn(
-        PATH_COL, F.col("_metadata.file_path")
-    ).filter(date_from_key(F.col("_metadata.file_path")).isNotNull())
-    keep = list(columns) if columns else None
-    if keep and (tickers or ticker_prefixes) and filter_column not in keep:
-        keep.append(filter_column)
-    typed = apply_schema(raw, schema, keep)
-    kept_schema = T.StructType([schema[c] for c in (keep or schema.names)])
-    ts_cols = resolve_timestamp_columns(kept_schema, timestamp_columns)
-    typed = convert_epochs(typed, ts_cols, timestamp_unit, keep_ns)
-    pred = None
-    if tickers or ticker_prefixes:
-        pred = ticker_predicate(filter_column, tickers, ticker_prefixes, typed.schema[filter_column].dataType)
-    parts = _partition_exprs(partition_by, F.lit(prefix), date_from_key(F.col(PATH_COL)))
-    keep_col = F.lit(True) if pred is None else F.coalesce(pred, F.lit(False))
-    parts[SOURCE_COL] = source_id(F.col(PATH_COL))
-    columns_out = [*partition_by, SOURCE_COL]
-    staged = typed.select("*", *[v.alias(c) for c, v in parts.items()], keep_col.alias("_keep"))
     results: list[tuple] = []
-
-    def other_headers(paths: list[str]) -> dict[str, str]:
-        """Files of this batch whose header is not the schema's, by the first bytes of each."""
-        files = spark.createDataFrame([(p, unquote(p)) for p in paths], "key string, path string")
-        heads = sample_heads(files, HEADER_BYTES).filter("line_no <= 0").select("key", "line", "error").collect()
-        wrong = {}
-        for r in heads:
-            try:
-                names = parse_header(r.line) if r.line is not None else schema.names
-            except ValueError as exc:
-                wrong[r.key] = f"ValueError: {exc}"
-                continue
-            if names != schema.names:
-                wrong[r.key] = f"ValueError: header {names} is not {schema.names}"
-        return wrong
+    if not record_changes(spark, source_root, prefix, log, max_files_per_trigger) and not path_exists(spark, log):
+        return spark.createDataFrame(results, RESULT_SCHEMA)
 
     def process(batch: DataFrame, epoch_id: int) -> None:
-        # Pass 1: one summary row per new file (rows, bad rows, matching rows).
-        summary = batch.groupBy(PATH_COL).agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(F.col(ROW_BAD).cast("int")).alias("bad"),
-            F.sum((F.col("_keep") & ~F.col(ROW_BAD)).cast("int")).alias("kept"),
-            F.first(F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in columns_out])).alias("location"),
-        ).collect()
-        if not summary:
+        newest = batch.groupBy("key").agg(F.max_by(F.struct("etag", "size", "path", "dataset", "file_date"), "seen").alias("f")).select("key", "f.*")
+        current = M.newest_per_key(M.read_current(spark, output_root))
+        # the stream has no path template: a file keeps the path that it is known by
+        known = newest.join(current.select("key", F.col("rel").alias("known")), "key", "left").withColumn("rel", F.coalesce("known", "key")).drop("known")
+        files = known.withColumn("location", _location_col(partition_by)).persist()
+        try:
+            outputs = files.join(_existing_locations(spark, output_root, files), "location", "left_semi").select("rel")
+            plan = plan_actions(files, current, outputs, signature, by="key").collect()
+        finally:
+            files.unpersist()
+        # an output without an entry is left from a batch that died: written again
+        todo = [r for r in plan if r.action == "pull" or r.reason == "exists"]
+        results.extend((r.key, r.rel, "skipped", None, None, r.reason) for r in plan if r not in todo)
+        if not todo:
             return
-        bad = {r[PATH_COL]: f"ValueError: {r['bad']} row(s) do not fit the schema" for r in summary if r["bad"]}
-        bad.update(other_headers([r[PATH_COL] for r in summary]))
-        # Pass 2: matching rows of the files without bad rows.
-        good = batch.filter(F.col("_keep") & ~F.col(ROW_BAD)).drop(ROW_BAD, "_keep")
-        if bad:
-            bad_df = spark.createDataFrame([(p,) for p in bad], f"{PATH_COL} string")
-            good = good.join(bad_df, PATH_COL, "left_anti")
-        if columns:
-            proj = []
-            for c in columns:
-                proj += [c] + ([c + "_ns"] if c + "_ns" in good.columns else [])
-            good = good.select(*proj, *columns_out)
-        else:
-            good = good.drop(PATH_COL)
-        if any(r["kept"] for r in summary if r[PATH_COL] not in bad):
-            fmt.write(fit_table(spark, output_root, prefix, good, fmt, codec, columns_out), output_root, codec, columns_out)
+        outcome = _process_parsed(
+            spark, todo, output_root, fmt, codec, None, types, columns, timestamp_columns, timestamp_unit, keep_ns, filter_column, tickers,
+            ticker_prefixes, None, partition_by, HEADER_BYTES, None, multi_line, row_number, header=schema.names,
+        )
         entries = []
-        for r in summary:
-            p = r[PATH_COL]
-            key = p[len(qroot) + 1:] if p.startswith(qroot + "/") else p
-            if p in bad:
-                results.append((key, None, "failed", None, bad[p], "stream"))
-                continue
-            n = int(r["kept"] or 0)
-            results.append((key, key, "written" if n else "empty", n, None, "stream"))
-            entries.append((key, key, None, None, n, f"stream|{fmt.name}|{codec}", fmt.name, bool(n), r["location"]))
+        for r in todo:
+            status, rows, error = outcome.get(r.key, ("failed", None, "not processed"))
+            results.append((r.key, r.rel, status, rows, error, r.reason))
+            if status in ("written", "empty"):
+                entries.append((r.rel, r.key, r.etag, int(r.size or 0), rows, signature, fmt.name, status == "written", r.location))
         if entries:
             M.append_entries(spark, output_root, spark.createDataFrame(
                 entries,
@@ -203,11 +184,9 @@ def stream_ingest(
                 "format string, written boolean, location string",
             ), f"stream-{epoch_id}-{M.new_run_id()}")
 
-    q = (
-        staged.writeStream.foreachBatch(process)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    changes = spark.readStream.schema(CHANGES)
+    if max_files_per_trigger:
+        changes = changes.option("maxFilesPerTrigger", 1)  # a file of the log holds at most that many objects
+    q = changes.parquet(log).writeStream.foreachBatch(process).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.createDataFrame(results, RESULT_SCHEMA)

@@ -4,7 +4,7 @@ import os
 from pyspark.sql import types as T
 
 from flat_files import packed, put_all, quote_day
-from flatlake.streaming.available_now import stream_csv_available_now
+from flatlake.streaming.available_now import stream_csv_available_now, stream_ingest
 
 
 def _write(dirpath, name, rows):
@@ -28,7 +28,6 @@ def test_available_now_picks_up_new_files_only(spark, tmp_path):
 
 def test_stream_ingest_catch_up(spark, tmp_path):
     from flatlake.sources.schema import parse_column_types
-    from flatlake.streaming.available_now import stream_ingest
 
     src, out = str(tmp_path / "bucket"), str(tmp_path / "out")
     put_all(src, {"us_options_opra/quotes_v1/2025/03/2025-03-17.csv.gz": packed(quote_day())})
@@ -56,7 +55,6 @@ def _day(day, rows, part=""):
 
 
 def test_stream_batches_of_any_size_add_up(spark, tmp_path):
-    from flatlake.streaming.available_now import stream_ingest
 
     src, out = str(tmp_path / "bucket"), str(tmp_path / "out")
     schema = T.StructType([T.StructField("ticker", T.StringType()), T.StructField("px", T.DoubleType())])
@@ -71,3 +69,50 @@ def test_stream_batches_of_any_size_add_up(spark, tmp_path):
     second = {r.key.rsplit("/", 1)[-1]: r.status for r in stream_ingest(spark, src, out, "options/quotes", schema, columns=["ticker"]).collect()}
     assert second == {"2025-03-17.p00002.csv.gz": "written", "2025-03-18.csv.gz": "failed", "2025-03-19.csv.gz": "failed"}
     assert sorted(r.ticker for r in spark.read.parquet(out + "/asset_class=us_options_opra").collect()) == ["A", "B", "C"]
+
+
+def test_stream_sees_republished_files(spark, tmp_path):
+    src, out = str(tmp_path / "bucket"), str(tmp_path / "out")
+    schema = T.StructType([T.StructField("ticker", T.StringType()), T.StructField("px", T.DoubleType())])
+    run = lambda: {r.key.rsplit("/", 1)[-1]: (r.status, r.rows, r.reason) for r in stream_ingest(spark, src, out, "options/quotes", schema).collect()}
+    put_all(src, {**_day(17, [("A", 1)]), **_day(18, [("B", 2)])})
+    assert run() == {"2025-03-17.csv.gz": ("written", 1, "new"), "2025-03-18.csv.gz": ("written", 1, "new")}
+    put_all(src, _day(18, [("B", 3), ("C", 4)]))
+    assert run() == {"2025-03-18.csv.gz": ("written", 2, "changed")}
+    table = lambda: sorted((r.ticker, r.px) for r in spark.read.parquet(out + "/asset_class=us_options_opra").collect())
+    assert table() == [("A", 1.0), ("B", 3.0), ("C", 4.0)]
+    # back to what it was before: a change again
+    put_all(src, _day(18, [("B", 2)]))
+    assert run() == {"2025-03-18.csv.gz": ("written", 1, "changed")}
+    assert table() == [("A", 1.0), ("B", 2.0)] and run() == {}
+
+
+def test_unreadable_gzip_does_not_stop_the_stream(spark, tmp_path):
+    src, out = str(tmp_path / "bucket"), str(tmp_path / "out")
+    schema = T.StructType([T.StructField("ticker", T.StringType()), T.StructField("px", T.DoubleType())])
+    whole = gzip.compress(b"ticker,px\n" + b"".join(b"T%d,%d\n" % (i, i) for i in range(40000)))
+    put_all(src, {**_day(17, [("A", 1)]), "us_options_opra/quotes_v1/2025/03/2025-03-18.csv.gz": whole[: len(whole) // 2], "us_options_opra/quotes_v1/2025/03/2025-03-19.csv.gz": b"no gzip"})
+    got = {r.key.rsplit("/", 1)[-1]: r.status for r in stream_ingest(spark, src, out, "options/quotes", schema).collect()}
+    assert got == {"2025-03-17.csv.gz": "written", "2025-03-18.csv.gz": "failed", "2025-03-19.csv.gz": "failed"}
+
+
+def test_batch_stream_and_templates_share_one_table(spark, tmp_path):
+    from datetime import date
+
+    from flatlake import ingest
+
+    src, out = str(tmp_path / "bucket"), str(tmp_path / "out")
+    schema = T.StructType([T.StructField("ticker", T.StringType()), T.StructField("px", T.DoubleType())])
+    kw = dict(start_date=date(2025, 3, 1), end_date=date(2025, 3, 31), column_types={"ticker": "string", "px": "float64"})
+    table = lambda: sorted((r.ticker, r.px) for r in spark.read.parquet(out).collect())
+    reasons = lambda run: {r.reason for r in run.result.collect()}
+    put_all(src, {**_day(17, [("A", 1), ("B", 2)])})
+    assert reasons(ingest(spark, src, out, "options/quotes", **kw)) == {"new"}
+    # the stream has the same settings and types: the manifest knows the file
+    assert [r.status for r in stream_ingest(spark, src, out, "options/quotes", schema).collect()] == ["skipped"]
+    assert reasons(ingest(spark, src, out, "options/quotes", path_template="t/{date}.{ext}", **kw)) == {"changed"}
+    assert reasons(ingest(spark, src, out, "options/quotes", path_template="t/{date}.{ext}", **kw)) == {"up to date"}
+    moved = str(tmp_path / "moved")
+    put_all(moved, {**_day(17, [("A", 1), ("B", 2)])})
+    stream_ingest(spark, moved, out, "options/quotes", schema, checkpoint=str(tmp_path / "other"))
+    assert table() == [("A", 1.0), ("B", 2.0)]
