@@ -1,12 +1,16 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment over words.
+"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment over words.
 
 1. The benchmark's n-grams fill a bitmap of fixed size, the only thing sent to
    every task (its size does not depend on the data).
-2. A pass over the corpus reports where they occur; a join gives item and
-   diagonal.  Every n-gram of an item is a seed: a choice among them by corpus
-   counts could leave the ones that an edited copy still holds without a hit.
-3. Documents with a hit are joined with their candidates and aligned, if the
-   item's words that occur there at all could reach the score.
+2. A pass over the corpus reports where they occur, and how often each does.
+3. Every item gets its seeds: of its n-grams that occur at all the most common
+   are left out, as long as no copy with words replaced or dropped can reach
+   the score, and no run of RUN words can stand, without one of the rest
+   (:func:`rare_seeds`).  So a phrase that every document holds joins nothing
+   unless the item cannot be found without it.
+4. A join of the hits with the seeds gives item and diagonal.  Documents with a
+   candidate are aligned, if the item's words that occur there at all could
+   reach the score.
 """
 
 from __future__ import annotations
@@ -24,6 +28,10 @@ from .textkit import Prefix, U, buffer_of, mix, pieces, word_hashes, words
 
 #: Words of an n-gram, and bits of the bitmap (two probes).
 GRAM, BITS = 3, 24
+#: Words in a row that count as a copy whatever the length of the item.
+RUN = 13
+#: Words of an item whose seeds are chosen together, and n-grams kept in a row before the choice ends.
+STRETCH, TRIALS = 64, 8
 STEP = 1 << 20
 LAST_ID = (1 << 63) - 1
 
@@ -110,6 +118,65 @@ def item_grams(items: DataFrame) -> DataFrame:
     return items.mapInArrow(run, "gram bigint, item bigint, pos bigint, n_words bigint")
 
 
+def reach_without(seeds: np.ndarray, n: int) -> int:
+    """Most points of *n* item words, words replaced or dropped, of which no n-gram marked in *seeds* stands whole."""
+    never = -(1 << 40)
+    apart, one, two = 0, never, never  # points with 0, 1, 2 or more equal words in a row at the end
+    best = 0
+    for i in range(n):
+        more = two + 2 if i >= GRAM - 1 and not seeds[i - GRAM + 1] else never
+        apart, one, two = max(0, max(apart, one, two) - 1), apart + 2, max(one + 2, more)
+        best = max(best, one, two)
+    return best
+
+
+def rare_seeds(counts: np.ndarray, n: int, least: float) -> np.ndarray:
+    """Which n-grams of an item of *n* words are seeds, by their corpus *counts* (0: occurs nowhere, cannot be a hit).
+
+    From the most common on, an n-gram is left out if afterwards no alignment
+    that misses all the others scores *least* (or more than one that misses
+    all), and every RUN words still hold one of the others.  Words of different
+    stretches are judged apart; n-grams across two stretches stay.
+    """
+    kept = np.ones(len(counts), bool)
+    for start in range(0, n, STRETCH):
+        words = min(STRETCH, n - start)
+        own = kept[start : start + max(0, words - GRAM + 1)]  # a view
+        limit = max(reach_without(own, words), int(np.ceil(least * 2 * words)) - 1)
+        failed = 0
+        for p in np.argsort(-counts[start : start + len(own)], kind="stable"):
+            if counts[start + p] == 0 or failed == TRIALS:
+                break
+            own[p] = False
+            gaps = np.diff(np.flatnonzero(np.concatenate([[True], kept[max(0, start - RUN) : start + STRETCH + RUN], [True]])))
+            if reach_without(own, words) > limit or gaps.max() > RUN - GRAM + 1:
+                own[p] = True
+                failed += 1
+    return kept & (counts > 0)
+
+
+def chosen(grams: DataFrame, counts: DataFrame, least: float) -> DataFrame:
+    """Rows of ``grams(gram, item, pos, n_words)`` that are seeds; an item's n-grams, at most its words, are one group."""
+
+    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("pos")
+        return pdf[rare_seeds(pdf["n"].to_numpy(), int(pdf["n_words"].iloc[0]), least)][["gram", "item", "pos", "n_words"]]
+
+    counted = grams.join(counts, "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return counted.groupBy("item").applyInPandas(pick, "gram bigint, item bigint, pos bigint, n_words bigint")
+
+
+def longest_run(passage: np.ndarray, item: np.ndarray) -> tuple[int, int]:
+    """Most equal words in a row of both sequences, and where they end in the passage."""
+    run, best = np.zeros(len(passage) + 1, np.int64), (0, 0)
+    for w in item:
+        run[1:] = np.where(passage == w, run[:-1] + 1, 0)
+        at = int(run.argmax())
+        if run[at] > best[0]:
+            best = (int(run[at]), at)
+    return best
+
+
 def smith_waterman(passage: np.ndarray, item: np.ndarray, match: int = 2, mismatch: int = -1, gap: int = -1) -> tuple[int, int, int]:
     """Best local alignment of two word sequences: score, and the passage words [start, stop) it spans.
 
@@ -136,7 +203,7 @@ def smith_waterman(passage: np.ndarray, item: np.ndarray, match: int = 2, mismat
 
 
 def _aligned(least: float):
-    """Per (document, candidates): the items whose alignment reaches *least* of their words."""
+    """Per (document, candidates): the items whose alignment reaches *least* of their words, or with RUN equal words in a row."""
 
     def run(frames):
         for pdf in frames:
@@ -146,19 +213,24 @@ def _aligned(least: float):
                 hashes, _ = folded_words(raw, np.array([0, len(raw)]))
                 best: dict = {}
                 items: dict = {}
-                for c in candidates:
+                for c, diagonal in ((c, diagonal) for c in candidates for diagonal in c["diagonals"]):
                     if c["item"] not in items:
                         own = np.frombuffer(c["item_text"].encode(), np.uint8)
                         items[c["item"]] = folded_words(own, np.array([0, len(own)]))[0]
                     item = items[c["item"]]
                     pad = max(4, len(item) // 2)
-                    lo, hi = max(0, c["diagonal"] - pad), min(len(hashes), c["diagonal"] + len(item) + 2 * pad)
+                    lo, hi = max(0, diagonal - pad), min(len(hashes), diagonal + len(item) + 2 * pad)
                     # the score is at most 2 per item word that occurs in the window
-                    if np.isin(item, hashes[lo:hi]).sum() / max(1, len(item)) < least:
+                    common = np.isin(item, hashes[lo:hi]).sum()
+                    if common < min(RUN, least * len(item)):
                         continue
                     score, start, stop = smith_waterman(hashes[lo:hi], item)
                     share = score / max(1, 2 * len(item))
-                    if share >= least and share > best.get(c["item"], (0,))[0]:
+                    enough = share >= least
+                    if not enough and common >= RUN:
+                        run, end = longest_run(hashes[lo:hi], item)
+                        enough, start, stop = run >= RUN, end - run, end
+                    if enough and share > best.get(c["item"], (0,))[0]:
                         best[c["item"]] = (share, lo + start, lo + stop)
                 out += [(doc, item, *found) for item, found in best.items()]
             yield pd.DataFrame(out, columns=["id", "item", "score", "start", "stop"])
@@ -171,7 +243,10 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = 0.55, id_col:
 
     An alignment counts 2 for an equal word, -1 for an unequal one and for a
     gap, over 2 per item word: a verbatim copy scores 1, one with a fifth of its words
-    replaced 0.7.  Whole texts are searched.
+    replaced 0.7.  Found is what scores *least* or more, or holds RUN words of
+    the item in a row (then with its score and the span of the run).  Whole
+    texts are searched.  A copy that shares no three words in a row with the
+    item (a word put in after every second one) has no hit.
 
     Defined cases: null texts match nothing; items of fewer than GRAM words
     have no seed and are not searched for; null ids count as the largest id;
@@ -182,13 +257,15 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = 0.55, id_col:
     bench = items.select(F.coalesce(F.col(item_col).cast("bigint"), F.lit(LAST_ID)).alias("item"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("item_text"))
     bench = bench.groupBy("item").agg(F.max("item_text").alias("item_text"))
     grams = written(item_grams(bench), "item-grams")
-    hits = found_grams(narrow, bitmap_of(grams))
-    seeds = grams.withColumnRenamed("pos", "at")
+    hits = written(found_grams(narrow, bitmap_of(grams)), "gram-hits")
+    counts = hits.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    seeds = chosen(grams, counts, least).withColumnRenamed("pos", "at")
     # hits of one copy lie near one diagonal; a step of a quarter item keeps one candidate for them
     step = F.greatest(F.lit(4), F.floor(F.col("n_words") / 4))
     near = (F.floor((F.col("pos") - F.col("at")) / step) * step).cast("bigint")
-    candidates = hits.join(seeds, "gram").select("id", "item", near.alias("diagonal")).distinct()
-    per_doc = candidates.join(bench, "item").groupBy("id").agg(F.collect_set(F.struct("item", "diagonal", "item_text")).alias("candidates"))
+    candidates = hits.join(seeds, "gram").groupBy("id", "item").agg(F.collect_set(near).alias("diagonals"))
+    # an item's text comes once a document, however many diagonals it has there
+    per_doc = candidates.join(bench, "item").groupBy("id").agg(F.collect_list(F.struct("item", "diagonals", "item_text")).alias("candidates"))
     found = narrow.filter("text is not null").join(per_doc, "id").mapInPandas(_aligned(least), "id bigint, item bigint, score double, start bigint, stop bigint")
     return found.groupBy("id", "item").agg(F.max(F.struct("score", "start", "stop")).alias("m")).select("id", "item", "m.*")
 

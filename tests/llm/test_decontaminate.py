@@ -108,3 +108,58 @@ def test_empty_sides(spark):
     assert d.verdicts(make_docs(spark, []), bench).collect() == []
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert all(r["kept"] for r in d.verdicts(make_docs(spark, docs[:5]), none).collect())
+
+
+def test_reach_without_seeds_against_all_patterns():
+    """The bound against every choice of kept and replaced words."""
+    rnd = random.Random(1)
+    for _ in range(60):
+        n = rnd.randint(1, 11)
+        seeds = np.array([rnd.random() < 0.6 for _ in range(max(0, n - 2))], bool)
+        best = 0
+        for mask in range(1 << n):
+            kept = [mask >> i & 1 for i in range(n)]
+            if any(seeds[p] and all(kept[p : p + 3]) for p in range(n - 2)):
+                continue
+            score = top = 0
+            for k in kept:
+                score = max(0, score + (2 if k else -1))
+                top = max(top, score)
+            best = max(best, top)
+        assert d.reach_without(seeds, n) == best
+
+
+def test_common_grams_are_no_seeds_and_rare_ones_suffice():
+    rnd = random.Random(2)
+    for n in (15, 40, 64, 65, 200):
+        counts = np.array([rnd.choice([0, 1, 3, 5000, 9000]) for _ in range(n - 2)])
+        seeds = d.rare_seeds(counts, n, 0.55)
+        assert not seeds[counts == 0].any()
+        blocked = seeds | (counts == 0)
+        everything = d.reach_without(np.ones(n - 2, bool), n)
+        if n <= d.STRETCH:
+            assert d.reach_without(blocked, n) <= max(everything, int(np.ceil(1.1 * n)) - 1)
+        run = 0
+        for b in blocked:
+            run = 0 if b else run + 1
+            assert run < d.RUN - 2
+    one = np.full(38, 2)
+    one[20] = 10**6
+    assert not d.rare_seeds(one, 40, 0.55)[20] and d.rare_seeds(one, 40, 0.55).sum() >= 20
+
+
+def test_a_phrase_of_every_document_adds_no_candidate(spark):
+    rnd = random.Random(8)
+    word = lambda p: f"{p}{rnd.randrange(10**6)}"
+    item = [word("i") for _ in range(18)] + ["as", "we", "know"] + [word("i") for _ in range(19)]
+    docs = [(i, " ".join([word("d") for _ in range(20)] + ["As we know,"] + [word("d") for _ in range(20)])) for i in range(200)]
+    docs += [(900, " ".join(item)), (901, " ".join([word("d") for _ in range(30)] + item[5:18] + [word("d") for _ in range(9)])), (902, " ".join(item[5:17]))]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
+    df = make_docs(spark, docs)
+    grams = d.item_grams(bench.select("item_id", "text")).persist()
+    narrow = df.select("doc_id", "text")
+    counts = d.found_grams(narrow, d.bitmap_of(grams)).groupBy("gram").count().withColumnRenamed("count", "n")
+    seeds = d.chosen(grams, counts, 0.55)
+    assert 18 not in {r["pos"] for r in seeds.collect()}
+    found = {r["id"]: (round(r["score"], 3), r["stop"] - r["start"]) for r in d.contaminated(df, bench).collect()}
+    assert found == {900: (1.0, 40), 901: (0.325, 13)}
