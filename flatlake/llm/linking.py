@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import delete_path, scratch_path
+from ..session import delete_path, scratch_path, session_conf
 
 #: Buckets up to this size compare their remaining pairs in one equi-join; larger ones take PIVOTS members at a time.
 SMALL, PIVOTS = 256, 128
@@ -23,13 +23,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Have the shuffle files of finished steps removed.
+#: A query's shuffle files go when it ends, not when the driver's JVM next collects garbage.
+CLEAN = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
-    Spark's cleaner removes what the driver no longer refers to, but finds that
-    out only when the driver's JVM collects garbage, by default every half hour.
-    """
-    spark.sparkContext._jvm.java.lang.System.gc()
+
+def written_clean(df: DataFrame, name: str) -> DataFrame:
+    """As ``written``, for large steps: the shuffle files of making the table go once it is there."""
+    with session_conf(df.sparkSession, CLEAN):
+        return written(df, name)
 
 
 def only(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
@@ -93,7 +94,8 @@ def linked_components(members: DataFrame, sketches: DataFrame, likely: Callable[
 
     def held(df: DataFrame, name: str) -> DataFrame:
         scratch.append(scratch_path(spark, name))
-        df.write.parquet(scratch[-1])
+        with session_conf(spark, CLEAN):
+            df.write.parquet(scratch[-1])
         return spark.read.schema(df.schema).parquet(scratch[-1])
 
     def drop(paths: list[str]) -> None:
@@ -102,13 +104,11 @@ def linked_components(members: DataFrame, sketches: DataFrame, likely: Callable[
             scratch.remove(path)
 
     def linked(pairs: DataFrame) -> DataFrame:
-        return written(verify(held(pair_of(pairs.filter(likely("p_")), "id", "p_id"), "pairs")), "links")
+        return written_clean(verify(held(pair_of(pairs.filter(likely("p_")), "id", "p_id"), "pairs")), "links")
 
     bounds = members.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi")
     shared = held(members.join(bounds, "key"), "shared-keys")
-    release(spark)
     opened = held(shared.join(sketches, "id"), "buckets")
-    release(spark)
     ends = second(opened.filter("id = lo or id = hi"))
     links = linked(opened.join(ends, "key").filter("id != p_id"))
     known = written(components(links), "components")
@@ -134,7 +134,6 @@ def linked_components(members: DataFrame, sketches: DataFrame, likely: Callable[
             met = pivots.select(F.col("key").alias("met_key"), "p_id")
             opened = many.join(met, (many["key"] == met["met_key"]) & (many["id"] == met["p_id"]), "left_anti").select("key", *columns)
         known = joined(known, linked(pairs))
-        release(spark)
         if not sizes[1]:
             drop(list(scratch))
             return known
