@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import delete_path, scratch_path, session_conf
@@ -19,10 +20,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """*df* as a table in the shared scratch folder: lineage ends there, and a lost executor loses nothing."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def temporary(spark: SparkSession):
+    """Tables that ``written`` makes inside the block go at its end, all but the last one: the block's result."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        paths = _SCOPES.pop()
+        for path in paths[:-1]:
+            delete_path(spark, path)
+        if _SCOPES:
+            _SCOPES[-1] += paths[-1:]
+
+
 #: A query's shuffle files go when it ends, not when the driver's JVM next collects garbage.
 CLEAN = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
