@@ -657,6 +657,26 @@ def q_sink_raw(spark, sf_dir):
     return scan_csv(spark, [r.path for r in _export_files(spark, dest).collect()], g["schema"]).drop(ROW_BAD, "_path")
 
 
+def q_sink_raw_ranges(spark, sf_dir):
+    """As ``sink_raw``, every file in ranges of a third of the mean file: the copies' own digests and rows."""
+    path = _orders_csv_export(spark, sf_dir)
+    files = _export_files(spark, path)
+    dest = scratch_path(spark, "range-copy")
+    sized = files.join(list_objects(spark, path).select("key", "size"), "key")
+    jobs = sized.select("key", "path", F.concat(F.lit(dest + "/"), F.col("key")).alias("dest"), "size")
+    third = int(sized.agg(F.avg("size")).first()[0] // 3) + 1
+    failed = copy_files(jobs, spark.sparkContext.defaultParallelism, part_bytes=third).filter("error is not null").limit(1).collect()
+    if failed:
+        raise RuntimeError(f"copy failed: {failed}")
+    copies = _export_files(spark, dest)
+    digests = md5_files(files).withColumnRenamed("md5", "source").join(md5_files(copies), "key", "left")
+    if digests.filter(~F.col("md5").eqNullSafe(F.col("source"))).limit(1).count():
+        raise RuntimeError("a copy differs from its source")
+    groups, _, _ = infer_file_schemas(spark, copies)
+    (g,) = groups.values()
+    return scan_csv(spark, [r.path for r in copies.collect()], g["schema"]).drop(ROW_BAD, "_path")
+
+
 def q_listing(spark, sf_dir):
     """Objects per folder as listed, and the rows of exactly the listed objects."""
     path = scratch_path(spark, "listing")
@@ -1100,6 +1120,7 @@ QUERIES = {
     "type_override": q_type_override,
     "failed_files": q_failed_files,
     "sink_raw": q_sink_raw,
+    "sink_raw_ranges": q_sink_raw_ranges,
     "listing": q_listing,
     "stream_available_now": q_stream_available_now,
     "stream_ingest_events": q_stream_ingest_events,

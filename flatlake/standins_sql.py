@@ -311,6 +311,7 @@ SELECT event_id, event_type,
 FROM events""",
     "scan_csv": "SELECT * FROM orders",
     "sink_raw": "SELECT * FROM orders",
+    "sink_raw_ranges": "SELECT * FROM orders",
     "listing": "SELECT o_orderstatus AS folder, count(*) AS rows, true AS filled, true AS has_etag FROM orders GROUP BY o_orderstatus",
     "infer_schema": """
 SELECT * FROM (VALUES (0, 'o_orderkey', 'bigint'), (1, 'o_custkey', 'bigint'), (2, 'o_orderstatus', 'string'),
