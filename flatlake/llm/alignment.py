@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from .bpe_stream import Encoder, loaded, packed, rows_of, tokenizer_text
 from .linking import written
+from .textkit import gather_ranges
 
 #: Pair counts sent to the tasks at most (16 bytes each).
 SENT_PAIRS = 1 << 18
@@ -69,16 +70,24 @@ class Pieces:
         """Ids of texts that start with a blank (the one the model adds); new segments of all of them go to the model together."""
         cut = [_SEGMENT.findall(t) if self.split and MARK not in t else [t] for t in spaced]
         pieces = set(chain.from_iterable(cut))
-        new = pieces.difference(self.kept)
-        if len(self.kept) + len(new) > KEEP:
-            self.kept.clear()
-            new = pieces
-        new = sorted(new)
+        kept = self.kept
+        new = list(pieces.difference(kept))
+        if len(kept) + len(new) > KEEP:
+            kept.clear()
+            new = list(pieces)
         ids = self.model.encode([s[1:] for s in new], num_threads=1)
-        table = dict(zip(new, (packed([self.blank] if s == " " else x) for s, x in zip(new, ids))))
-        self.kept.update((s, x) for s, x in table.items() if len(s) <= KEEP_CHARS and len(new) <= KEEP)
-        table.update((s, self.kept[s]) for s in pieces.difference(table))
-        return [np.frombuffer(b"".join(map(table.__getitem__, c)), np.int32) for c in cut]
+        if " " in pieces and " " not in kept:
+            ids[new.index(" ")] = [self.blank]
+        flat = packed(chain.from_iterable(ids))
+        ends = np.cumsum([4 * len(x) for x in ids]).tolist()
+        kept.update(zip(new, [flat[i:j] for i, j in zip([0, *ends], ends)]))
+        out = [np.frombuffer(b"".join(map(kept.__getitem__, c)), np.int32) for c in cut]
+        if len(new) > KEEP:
+            kept.clear()
+        else:
+            for s in [s for s in new if len(s) > KEEP_CHARS]:
+                del kept[s]
+        return out
 
 
 class Aligner:
@@ -90,6 +99,8 @@ class Aligner:
         self.size_a, self.size_b = merges.size, len(self.b.bytes)
         self.length_a = np.array([len(x) for x in merges.bytes], np.int64)
         self.length_b = np.array([len(x) for x in self.b.bytes], np.int64)
+        self.start_b = np.cumsum(self.length_b) - self.length_b
+        self.bytes_b = np.frombuffer(b"".join(self.b.bytes), np.uint8)
         self.same = identity_map(merges.bytes, self.b.bytes, self.b.is_byte)
         self.text = [f"{i}{end}" for i in range(self.size_a) for end in (",", "|")] + [f"{i}{end}" for i in range(self.size_b) for end in (",", ";", "")]
 
@@ -97,10 +108,18 @@ class Aligner:
         """Ids of both for every text; none if B's bytes are not those of space + text (A's always are)."""
         spaced = [" " + t if t else "" for t in texts]
         b = self.b.encode_all(spaced)
-        same = [b"".join(map(self.b.bytes.__getitem__, ids.tolist())) == t.encode() for t, ids in zip(spaced, b)]
+        same = self.spelled(spaced, b)
         a = self.a.encode_all([t if ok else "" for t, ok in zip(spaced, same)])
         return [(x, y if ok else y[:0]) for x, y, ok in zip(a, b, same)]
 
+    def spelled(self, spaced: list[str], b: list[np.ndarray]) -> list[bool]:
+        """Whether the bytes of B's ids are those of the text; the bytes of all texts are gathered together."""
+        ids = np.concatenate([np.zeros(0, np.int32), *b])
+        lengths = self.length_b[ids]
+        raw = self.bytes_b[gather_ranges(self.start_b[ids], lengths)].tobytes()
+        ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum([0, *map(len, b)])].tolist()
+        return [raw[i:j] == t.encode() for t, i, j in zip(spaced, ends, ends[1:])]
+
 
 def identity_map(a: list[bytes], b: list[bytes], is_byte: list[bool]) -> np.ndarray:
     """A id -> id of B's piece with the same bytes, a plain piece before a byte piece; -1 where there is none."""

@@ -132,3 +132,16 @@ def test_frequent_pairs_stay_under_the_bound(spark):
 
 def test_empty_table(spark):
     assert A.alignment(make_docs(spark, [], 1)).count() == 0
+
+
+def test_bytes_of_all_texts_are_compared_together(monkeypatch):
+    monkeypatch.setattr(A, "KEEP", 40)
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as fh:
+        here = A.Aligner(A.tokenizer_text(None), fh.read())
+    plain = ["", "a", " ", "x  y", "Zoë ran\nhome", "▁mark", "tab\tand \x00 nul", "q" * 200 + " r", "ﬁne", "ten ten ten"] + [f"w{i} v{i}" for i in range(60)]
+    for texts in (plain, plain[:9], [], [""]):
+        spaced = [" " + t if t else "" for t in texts]
+        ids = here.b.encode_all(spaced)
+        assert [x.tolist() for x in ids] == [PIECES.encode(t) if t else [] for t in texts]
+        assert here.spelled(spaced, ids) == [b"".join(map(bytes_b, x.tolist())) == t.encode() for t, x in zip(spaced, ids)]
+        assert len(here.b.kept) <= 40 and all(len(s) <= A.KEEP_CHARS for s in here.b.kept)
