@@ -4,7 +4,7 @@ from math import comb
 import pytest
 
 from flatlake.llm import linking, minhash_bayes
-from flatlake.llm.line_dedup import dedup_lines, line_classes
+from flatlake.llm.line_dedup import dedup_lines, line_classes, similar
 from flatlake.llm.linking import components
 from flatlake.llm.minhash_bayes import least_matches, near_duplicates
 
@@ -185,3 +185,14 @@ def test_line_plan_has_no_python(spark):
     df = make_docs(spark, [(1, "a line of text"), (2, "a line of text")])
     plan = dedup_lines(df)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+@pytest.mark.parametrize("similarity", [0.5, 0.8, 1.0])
+def test_similar_lines_by_their_texts(spark, similarity):
+    texts = ["", "abcd", "abcde", "abcdef", "abcdefghij", "abcdefghiX", "x" * 40, "x" * 41, "Übermäßig lange Zeile", "Übermäßig lange Zeiler", "a b c d e f g h", "a b c d e f g i"]
+    sets = [{t[i : i + 5] for i in range(max(1, len(t) - 4))} for t in texts]
+    rows = [(i, j, texts[i], texts[j], len(sets[i]), len(sets[j])) for i in range(len(texts)) for j in range(i)]
+    df = spark.createDataFrame(rows, "i int, j int, x string, y string, nx int, ny int")
+    found = df.filter(similar(df.x, df.y, df.nx, df.ny, similarity)).select("i", "j").collect()
+    want = [(i, j) for i, j, *_ in rows if len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j])]
+    assert sorted(map(tuple, found)) == sorted(want)
