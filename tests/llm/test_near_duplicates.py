@@ -3,7 +3,7 @@ from math import comb
 
 import pytest
 
-from flatlake.llm import linking, minhash_bayes
+from flatlake.llm import line_dedup, linking, minhash_bayes
 from flatlake.llm.line_dedup import dedup_lines, line_classes, similar
 from flatlake.llm.linking import components
 from flatlake.llm.minhash_bayes import least_matches, near_duplicates
@@ -181,6 +181,40 @@ def test_repeated_content_of_different_length(spark):
     assert linked_pairs(spark, pairs) == [True] * len(pairs)
 
 
+def test_pairs_compared_in_a_large_family(spark, monkeypatch):
+    """Copies that differ from all others by more than the similarity allows are not compared with each member of the family."""
+    monkeypatch.setattr(linking, "SMALL", 40)
+    rnd = random.Random(5)
+    syllables = ["th", "an", "er", "on", "re", "ti", "ed", "sh", "ing", "tion", "ou", "ble", "ly", "and "]
+    text = lambda n: "".join(rnd.choice(syllables) for _ in range(n))
+    base = [text(3) for _ in range(50)]
+    rows = []
+    for i in range(600):
+        words = list(base)
+        for _ in range(rnd.choice([1, 2, 8, 9, 10])):
+            words[rnd.randrange(50)] = text(3)
+        rows.append((i, " ".join(words)))
+    compared, whole = [], line_dedup.linked_components
+
+    def counting(members, sketches, likely, verify, *more):
+        def count(pairs):
+            compared.append(pairs.count())
+            return verify(pairs)
+
+        return whole(members, sketches, likely, count, *more)
+
+    monkeypatch.setattr(line_dedup, "linked_components", counting)
+    got = {(r["id"], r["line_no"]): (r["class_id"], r["class_line"]) for r in line_classes(make_docs(spark, rows)).collect()}
+    assert got == brute_lines(rows)
+    assert sum(compared) < 10 * len(rows)
+
+
+def test_bit_limits_grow_with_the_sketch():
+    limits = line_dedup.bit_limits(0.8)
+    assert limits == sorted(limits) and limits[0] <= 1 and 60 < limits[512] < 128
+    assert line_dedup.bit_limits(1.0)[-1] <= 1
+
+
 def test_line_plan_has_no_python(spark):
     df = make_docs(spark, [(1, "a line of text"), (2, "a line of text")])
     plan = dedup_lines(df)._jdf.queryExecution().toString()
