@@ -209,6 +209,51 @@ def test_pairs_compared_in_a_large_family(spark, monkeypatch):
     assert sum(compared) < 10 * len(rows)
 
 
+def test_unlike_short_lines_share_few_bands(spark, monkeypatch):
+    """One common shingle does not make a band: unlike lines of few syllables stay out of each other's buckets."""
+    rnd = random.Random(8)
+    syllables = ["th", "an", "er", "on", "re", "ti", "ed", "sh", "ing", "tion", "ou", "ble"]
+    rows = [(i, " ".join("".join(rnd.choice(syllables) for _ in range(rnd.randint(1, 3))) for _ in range(6)) + " of the") for i in range(800)]
+    shared, whole = [], line_dedup.linked_components
+
+    def counting(members, *more):
+        shared.append(sum(r["count"] for r in members.groupBy("key").count().filter("count > 1").collect()))
+        return whole(members, *more)
+
+    monkeypatch.setattr(line_dedup, "linked_components", counting)
+    got = {(r["id"], r["line_no"]): (r["class_id"], r["class_line"]) for r in line_classes(make_docs(spark, rows)).collect()}
+    assert got == brute_lines(rows)
+    assert shared[0] < len(rows)
+
+
+def test_fine_sketches_of_many_pairs(spark, monkeypatch):
+    """The same classes, whether pairs go through the fine sketches first or not, and no more of them to the texts."""
+    rows, compared, whole = line_rows(), [], line_dedup.linked_components
+    want = brute_lines(rows)
+
+    def counting(members, sketches, likely, verify, *more):
+        def count(pairs):
+            compared[-1] += pairs.count()
+            return verify(pairs)
+
+        compared.append(0)
+        return whole(members, sketches, likely, count, *more)
+
+    monkeypatch.setattr(line_dedup, "linked_components", counting)
+    for most in (1000, 0):
+        monkeypatch.setattr(linking, "PAIRS_PER_ID", most)
+        assert {(r["id"], r["line_no"]): (r["class_id"], r["class_line"]) for r in line_classes(make_docs(spark, rows)).collect()} == want
+    assert compared[1] <= compared[0]
+
+
+def test_every_band_takes_minima_of_all_rows():
+    bands = line_dedup._bands()
+    assert len(bands) == 24 and all(sorted(j // line_dedup.COLUMNS for j in b) == list(range(line_dedup.ROWS)) for b in bands)
+    assert all(sum(j in b for b in bands) == line_dedup.SHIFTS for j in range(line_dedup.MINIMA))
+    assert max(len(set(a) & set(b)) for i, a in enumerate(bands) for b in bands[:i]) <= 2
+    assert len(set(line_dedup._constants())) == line_dedup.MINIMA and all(-(1 << 31) <= c < 1 << 31 for c in line_dedup._constants())
+
+
 def test_bit_limits_grow_with_the_sketch():
     limits = line_dedup.bit_limits(0.8)
     assert limits == sorted(limits) and limits[0] <= 1 and 60 < limits[512] < 128
